@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..plans.session import ship
 from . import kernels as K
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 3 << 20
 SCHEMA = "chunk long, payload binary"
 
 
@@ -43,6 +43,7 @@ def expand(blob: bytes) -> list[np.ndarray]:
 
 
 def _pack(batches):
+    K.tame_memory()
     context = TaskContext.get()
     serial = (context.partitionId() if context else 0) << 32
     ids, offsets, parts, held = [], [], [], 0

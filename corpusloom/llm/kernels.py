@@ -6,6 +6,8 @@ costs some nanoseconds a byte and no Python object is made for each word or docu
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -126,3 +128,15 @@ def doc_slices(offsets: np.ndarray, limit: int):
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
         yield i, min(j, n)
         i = j
+
+
+def tame_memory() -> None:
+    """Have the C allocator return large arrays to the system as soon as they are freed."""
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 1 << 19)  # M_MMAP_THRESHOLD, fixed: arrays from this size on are mapped
+        libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+        libc.malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+    pa.default_memory_pool().release_unused()

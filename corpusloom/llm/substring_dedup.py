@@ -38,7 +38,7 @@ def word_units(data, offsets) -> Units:
     after = np.cumsum(size + 1)
     text = np.append(data, np.uint8(32))[K.ranges(start, size + 1)]
     text[after - 1] = 32
-    return Units(hashes, docs.astype(np.int64), after - size - 1, after - 1, text)
+    return Units(hashes, docs.astype(np.int64), text, after - size - 1, after - 1)
 
 
 def margin(rounds=ROUNDS) -> tuple[int, int]:
@@ -134,4 +134,4 @@ def kept_texts(ids, units: Units, gone) -> pa.RecordBatch:
 def substring_dedup(docs: DataFrame, window: int = 35, id_column: str = "doc_id", text_column: str = "text", finish=digest, schema: str = SCHEMA, rounds=ROUNDS, key_words: int = 8) -> DataFrame:
     """One row per document: words, words removed and the hash of what is kept."""
     scheme = Scheme(window, word_units, symbol_anchors(window, rounds, key_words), across=False)
-    return remove_repeats(docs, scheme, finish, schema, parts_for(docs, 10 << 20), parts_for(docs, 8 << 20), id_column, text_column)
+    return remove_repeats(docs, scheme, finish, schema, parts_for(docs, 8 << 20), parts_for(docs, 4 << 20), id_column, text_column)

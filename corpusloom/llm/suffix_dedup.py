@@ -27,8 +27,7 @@ SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 
 def byte_units(data, offsets) -> Units:
-    at = np.arange(len(data), dtype=np.int64)
-    return Units(K.byte_units(data), np.asarray(offsets, np.int64), at, at + 1, data)
+    return Units(K.byte_units(data), np.asarray(offsets, np.int64), data)
 
 
 def minimisers(length: int, gram: int):
@@ -75,7 +74,7 @@ def suffix_dedup(docs: DataFrame, min_bytes: int = 50, gram: int | None = None,
     """
     gram = gram or max(1, min_bytes // 2)
     scheme = Scheme(min_bytes, byte_units, minimisers(min_bytes, gram), across=True)
-    return remove_repeats(docs, scheme, finish, schema, parts_for(docs, 10 << 20), parts_for(docs, 8 << 20), id_column, text_column)
+    return remove_repeats(docs, scheme, finish, schema, parts_for(docs, 8 << 20), parts_for(docs, 4 << 20), id_column, text_column)
 
 
 def kept_texts(ids, units: Units, gone) -> pa.RecordBatch:

@@ -84,8 +84,8 @@ def equal_windows(units, prefix: K.Prefix, window: np.ndarray, length: int, fing
 
 def same_bytes(units, a: np.ndarray, b: np.ndarray, length: int, step: int = 1 << 16) -> np.ndarray:
     """Whether the bytes of the windows at a and b, one by one, are equal."""
-    begin_a, begin_b = units.start[a], units.start[b]
-    size_a, size_b = units.end[a + length - 1] - begin_a, units.end[b + length - 1] - begin_b
+    begin_a, begin_b = units.begin(a), units.begin(b)
+    size_a, size_b = units.stop(a + length - 1) - begin_a, units.stop(b + length - 1) - begin_b
     out = size_a == size_b
     for s in range(0, len(a), step):
         k = s + np.flatnonzero(out[s : s + step])

@@ -35,9 +35,17 @@ class Units:
 
     values: np.ndarray
     offsets: np.ndarray
-    start: np.ndarray  # first byte of each unit
-    end: np.ndarray
     data: np.ndarray
+    start: np.ndarray | None = None  # first byte of each unit; None: units are bytes
+    end: np.ndarray | None = None
+
+    def begin(self, unit: np.ndarray) -> np.ndarray:
+        """First byte of units."""
+        return unit if self.start is None else self.start[unit]
+
+    def stop(self, unit: np.ndarray) -> np.ndarray:
+        """Byte after units."""
+        return unit + 1 if self.end is None else self.end[unit]
 
 
 @dataclass(frozen=True)
@@ -75,7 +83,7 @@ def spans_of(scheme: Scheme, units: Units) -> Spans:
     return Spans(at[cut], count, key[a[cut]] >> U64(64 - KEY_BITS), np.searchsorted(units.offsets, at[cut], "right") - 1)
 
 
-SLICE_UNITS = 1 << 20
+SLICE_UNITS = 1 << 18
 
 
 def _blocks(scheme: Scheme, data: np.ndarray, offsets: np.ndarray):
@@ -123,6 +131,7 @@ def _rows(rows, names=("bucket", "chunk", "blob"), types=(pa.int32(), pa.int64()
 
 def _send_keys(scheme: Scheme, buckets: int):
     def run(batches):
+        K.tame_memory()
         for batch in batches:
             for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 keys, multi = _chunk_keys(scheme, *C.unpack(payload.as_py()))
@@ -147,6 +156,7 @@ def _read_keys(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _answer_keys(table: pa.Table) -> pa.Table:
     """For each chunk's keys of a bucket, one bit: the key occurs elsewhere."""
+    K.tame_memory()
     chunk, blobs = table.column("chunk").to_pylist(), table.column("blob").to_pylist()
     read = [_read_keys(b) for b in blobs]
     key, multi = np.concatenate([k for k, _ in read]), np.concatenate([m for _, m in read])
@@ -187,8 +197,8 @@ class Repeats:
             parts["doc"].append(ids[spans.doc[hit] + i])
             parts["first"].append(first)
             parts["count"].append(count)
-            parts["begin"].append(units.start[first] + base)
-            parts["end"].append(units.end[last] + base)
+            parts["begin"].append(units.begin(first) + base)
+            parts["end"].append(units.stop(last) + base)
             base += len(units.data)
             parts["print"].append(K.Prefix(units.values).slices(first, last + 1) if len(units.values) else np.zeros(0, U64))
             parts["block"].append(np.full(len(hit), n))
@@ -206,6 +216,7 @@ class Repeats:
 
 def _send_spans(scheme: Scheme, buckets: int):
     def run(batches):
+        K.tame_memory()
         for batch in batches:
             for chunk, payload, replies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 ids, data, offsets = C.unpack(payload.as_py())
@@ -224,27 +235,39 @@ def _send_spans(scheme: Scheme, buckets: int):
 
 
 def _answer_spans(scheme: Scheme):
-    """For every span, one bit a window: it repeats."""
+    """For every span, one bit a window: it repeats. Works through the keys in order, a slice at a time."""
 
     def run(table: pa.Table) -> pa.Table:
+        K.tame_memory()
         read = [C.expand(b) for b in table.column("blob").to_pylist()]
+        lengths = [len(r[0]) for r in read]
         key, doc, count, many, size, text = (np.concatenate(x) for x in zip(*read, strict=True))
-        offsets = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
-        units = scheme.units(text, offsets)
-        bits = window_repeats(scheme, units, key, doc, count.astype(np.int64), many.astype(bool))
+        del read
+        begin = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         first = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
-        at, replies = 0, []
-        for r in read:
-            part = bits[first[at] : first[at + len(r[0])]]
-            replies.append(zlib_bits(part))
-            at += len(r[0])
+        bits = np.zeros(first[-1], bool)
+        order = np.argsort(key, kind="stable")
+        heads = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+        for s, e in _slices(np.append(heads, len(order)), np.concatenate([[0], np.cumsum(size[order], dtype=np.int64)])):
+            at = order[s:e]
+            part = text[K.ranges(begin[at], size[at])]
+            units = scheme.units(part, np.concatenate([[0], np.cumsum(size[at], dtype=np.int64)]))
+            bits[K.ranges(first[at], count[at])] = window_repeats(scheme, units, key[at], doc[at], count[at].astype(np.int64), many[at].astype(bool))
+        edge = first[np.concatenate([[0], np.cumsum(lengths)])]
+        replies = [C.compress(np.packbits(bits[s:e])) for s, e in zip(edge[:-1], edge[1:], strict=True)]
         return pa.table({"chunk": table.column("chunk").cast(pa.int64()), "bucket": table.column("bucket").cast(pa.int32()), "reply": pa.array(replies, pa.binary())})
 
     return run
 
 
-def zlib_bits(bits: np.ndarray) -> bytes:
-    return C.compress(np.packbits(bits))
+def _slices(heads: np.ndarray, weight: np.ndarray, limit: int = 1 << 19):
+    """Ranges between heads (starts of groups, and the end) of about ``limit`` weight; a group stays whole."""
+    i = 0
+    while i < len(heads) - 1:
+        j = int(np.searchsorted(weight[heads], weight[heads[i]] + limit, "right")) - 1
+        j = min(max(j, i + 1), len(heads) - 1)
+        yield int(heads[i]), int(heads[j])
+        i = j
 
 
 def window_repeats(scheme: Scheme, units: Units, key, doc, count, many) -> np.ndarray:
@@ -304,6 +327,7 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, finish: Callable, schema: st
     whole = asked.join(judged.hint("shuffle_hash"), "chunk", "left").select("payload", "replies", "verdicts")
 
     def run(batches):
+        K.tame_memory()
         for batch in batches:
             for payload, replies, verdicts in zip(*batch.columns, strict=True):
                 for ids, units, gone in covered(scheme, buckets, payload.as_py(), replies.as_py() or [], verdicts.as_py() or []):
