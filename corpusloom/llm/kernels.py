@@ -131,11 +131,11 @@ def doc_slices(offsets: np.ndarray, limit: int):
 
 
 def tame_memory() -> None:
-    """Have the C allocator return large arrays to the system as soon as they are freed."""
+    """Have the C allocator keep a small heap: very large arrays are mapped, and what is free goes back."""
     try:
         libc = ctypes.CDLL("libc.so.6")
-        libc.mallopt(-3, 1 << 19)  # M_MMAP_THRESHOLD, fixed: arrays from this size on are mapped
-        libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+        libc.mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 64 << 20)  # M_TRIM_THRESHOLD
         libc.malloc_trim(0)
     except (OSError, AttributeError):  # another C library
         pass

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 
 from . import kernels as K
 from .common import parts_for
-from .windowdup import Scheme, Units, remove_repeats
+from .windowdup import Scheme, Units, remove_repeats, window_starts
 
 U64 = np.uint64
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -93,16 +93,15 @@ def symbol_anchors(length: int, rounds=ROUNDS, key_words: int = 8):
         key = K.Prefix(units.values).windows(key_words)
         if n < length:
             return anchor, key
-        doc = np.searchsorted(units.offsets, np.arange(n), "right") - 1
+        doc = np.repeat(np.arange(len(units.offsets) - 1), np.diff(units.offsets))
         names, starts, _ = recompress(units.values, np.arange(n), np.ones(n, np.int64), doc, rounds)
         low = U64((1 << 31) - 1)  # positions; equal upper bits go to the leftmost, so content alone decides
         value = np.full(n, ~U64(0))
         value[starts] = (K.mix(names) & ~low) | starts.astype(U64)
         least = K.sliding_min(value[first:], width)
         windows = n - length + 1
-        at = np.arange(windows)
-        fits = units.offsets[doc[:windows] + 1] - at >= length
-        anchor[:windows] = np.where(fits, (least[:windows] & low).astype(np.int64), -1)
+        anchor[:windows] = least[:windows] & low
+        anchor[~window_starts(units.offsets, n, length)] = -1
         return anchor, key
 
     return run

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from . import kernels as K
 from .common import parts_for
-from .windowdup import Scheme, Units, remove_repeats
+from .windowdup import Scheme, Units, remove_repeats, window_starts
 
 U64 = np.uint64
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -42,8 +42,8 @@ def minimisers(length: int, gram: int):
             return anchor, key
         low = U64((1 << 31) - 1)  # positions; equal upper bits go to the leftmost, so content alone decides
         least = K.sliding_min((key & ~low) | np.arange(len(key), dtype=U64), width) & low
-        left = units.offsets[1:][np.searchsorted(units.offsets[1:], np.arange(len(least)), "right")] - np.arange(len(least))
-        anchor[: len(least)] = np.where(left >= length, least.astype(np.int64), -1)
+        anchor[: len(least)] = least
+        anchor[~window_starts(units.offsets, n, length)] = -1
         return anchor, key
 
     return run

@@ -65,12 +65,13 @@ def sort_suffixes(prefix: K.Prefix, values: np.ndarray, suffix: np.ndarray, grou
     return order
 
 
-def equal_windows(units, prefix: K.Prefix, window: np.ndarray, length: int, finger: np.ndarray) -> np.ndarray:
+def equal_windows(units, window: np.ndarray, length: int, finger: np.ndarray) -> np.ndarray:
     """A class number for each window of ``length`` units: equal windows share one. Verified on the bytes.
 
     ``finger`` buckets the windows; within a bucket they are sorted as suffixes, and neighbours of full
     common extension are compared byte for byte, so that a hash collision can't join different texts.
     """
+    prefix = units.prefix
     order = np.argsort(finger, kind="stable")
     at = window[order]
     order = order[sort_suffixes(prefix, units.values, at, finger[order], length)]
@@ -82,8 +83,8 @@ def equal_windows(units, prefix: K.Prefix, window: np.ndarray, length: int, fing
     return out
 
 
-def same_bytes(units, a: np.ndarray, b: np.ndarray, length: int, step: int = 1 << 16) -> np.ndarray:
-    """Whether the bytes of the windows at a and b, one by one, are equal."""
+def same_bytes(units, a: np.ndarray, b: np.ndarray, length, step: int = 1 << 15) -> np.ndarray:
+    """Whether the bytes of the windows at a and b, one by one, are equal. ``length``: of all or of each."""
     begin_a, begin_b = units.begin(a), units.begin(b)
     size_a, size_b = units.stop(a + length - 1) - begin_a, units.stop(b + length - 1) - begin_b
     out = size_a == size_b

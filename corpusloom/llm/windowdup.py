@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import chunks as C
 from . import kernels as K
-from .suffixes import equal_windows
+from .suffixes import equal_windows, same_bytes
 
 U64 = np.uint64
 KEY_BITS = 48
@@ -39,6 +40,10 @@ class Units:
     start: np.ndarray | None = None  # first byte of each unit; None: units are bytes
     end: np.ndarray | None = None
 
+    @cached_property
+    def prefix(self) -> K.Prefix:
+        return K.Prefix(self.values)
+
     def begin(self, unit: np.ndarray) -> np.ndarray:
         """First byte of units."""
         return unit if self.start is None else self.start[unit]
@@ -71,16 +76,22 @@ class Spans:
     doc: np.ndarray
 
 
+def window_starts(offsets: np.ndarray, n: int, length: int) -> np.ndarray:
+    """Which of n units start a window that ends in their document."""
+    delta = np.zeros(n + 1, np.int8)
+    has = np.diff(offsets) >= length
+    np.add.at(delta, offsets[:-1][has], 1)
+    np.add.at(delta, offsets[1:][has] - length + 1, -1)
+    return np.cumsum(delta[:-1], dtype=np.int8) > 0
+
+
 def spans_of(scheme: Scheme, units: Units) -> Spans:
     anchor, key = scheme.anchors(units)
-    at = np.flatnonzero(anchor >= 0)
-    if not len(at):
-        z = np.zeros(0, np.int64)
-        return Spans(z, z, np.zeros(0, U64), z)
-    a = anchor[at]
-    cut = np.concatenate([[0], np.flatnonzero((a[1:] != a[:-1]) | (at[1:] != at[:-1] + 1)) + 1])
-    count = np.diff(np.append(cut, len(at)))
-    return Spans(at[cut], count, key[a[cut]] >> U64(64 - KEY_BITS), np.searchsorted(units.offsets, at[cut], "right") - 1)
+    cut = np.concatenate([[0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1]) if len(anchor) else np.zeros(0, np.int64)
+    count = np.diff(np.append(cut, len(anchor)))
+    live = anchor[cut] >= 0
+    cut, count = cut[live], count[live]
+    return Spans(cut, count, key[anchor[cut]] >> U64(64 - KEY_BITS), np.searchsorted(units.offsets, cut, "right") - 1)
 
 
 SLICE_UNITS = 1 << 18
@@ -102,24 +113,28 @@ def _bucket_slices(keys: np.ndarray, buckets: int):
         yield int(bucket[s]), int(s), int(e)
 
 
-def _chunk_keys(scheme: Scheme, ids, data, offsets):
-    """Sorted distinct keys of a chunk, and whether the chunk alone makes each a repeat."""
-    keys, docs = [], []
-    for i, _, _, spans in _blocks(scheme, data, offsets):
-        keys.append(spans.key)
-        docs.append(ids[spans.doc + i])
-    key, doc = np.concatenate(keys), np.concatenate(docs)
-    order = np.argsort(key, kind="stable")
-    key, doc = key[order], doc[order]
-    first = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
-    at = np.flatnonzero(first)
-    if not len(at):
-        return key, np.zeros(0, bool)
-    if scheme.across:
-        multi = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
-    else:
-        multi = np.diff(np.append(at, len(key))) > 1
-    return key[at], multi
+class ChunkKeys:
+    """Sorted distinct keys of a chunk, whether the chunk alone makes each a repeat, and each span's place among them."""
+
+    def __init__(self, scheme: Scheme, ids, blocks):
+        keys, docs = [], []
+        for i, _, _, spans in blocks:
+            keys.append(spans.key)
+            docs.append(ids[spans.doc + i])
+        key, doc = np.concatenate(keys), np.concatenate(docs)
+        order = np.argsort(key)
+        key, doc = key[order], doc[order]
+        first = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+        at = np.flatnonzero(first)
+        self.keys = key[at]
+        self.place = np.empty(len(key), np.int64)
+        self.place[order] = np.cumsum(first) - 1
+        if not len(at):
+            self.multi = np.zeros(0, bool)
+        elif scheme.across:
+            self.multi = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
+        else:
+            self.multi = np.diff(np.append(at, len(key))) > 1
 
 
 ROWS = "bucket int, chunk long, blob binary"
@@ -134,7 +149,9 @@ def _send_keys(scheme: Scheme, buckets: int):
         K.tame_memory()
         for batch in batches:
             for chunk, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                keys, multi = _chunk_keys(scheme, *C.unpack(payload.as_py()))
+                ids, data, offsets = C.unpack(payload.as_py())
+                found = ChunkKeys(scheme, ids, _blocks(scheme, data, offsets))
+                keys, multi = found.keys, found.multi
                 rows = []
                 for b, s, e in _bucket_slices(keys, buckets):
                     six = keys[s:e].view(np.uint8).reshape(-1, 8)[:, :6]
@@ -180,16 +197,17 @@ class Repeats:
     """
 
     def __init__(self, scheme: Scheme, buckets: int, ids, data, offsets, replies):
-        keys, _ = _chunk_keys(scheme, ids, data, offsets)
-        flags = np.zeros(len(keys), bool)
-        for (_, s, e), reply in zip(_bucket_slices(keys, buckets), replies, strict=True):
+        blocks = list(_blocks(scheme, data, offsets))
+        found = ChunkKeys(scheme, ids, blocks)
+        flags = np.zeros(len(found.keys), bool)
+        for (_, s, e), reply in zip(_bucket_slices(found.keys, buckets), replies, strict=True):
             flags[s:e] = np.unpackbits(np.frombuffer(reply, np.uint8), count=e - s).astype(bool)
-        wanted = keys[flags]
+        wanted, seen = flags[found.place], 0
         parts = {k: [] for k in ("key", "doc", "first", "count", "begin", "end", "print", "block")}
         self.blocks, base = [], 0
-        for n, (i, j, units, spans) in enumerate(_blocks(scheme, data, offsets)):
-            at = np.searchsorted(wanted, spans.key)
-            hit = np.flatnonzero((at < len(wanted)) & (wanted[np.minimum(at, max(len(wanted) - 1, 0))] == spans.key)) if len(wanted) else np.zeros(0, np.int64)
+        for n, (i, j, units, spans) in enumerate(blocks):
+            hit = np.flatnonzero(wanted[seen : seen + len(spans.key)])
+            seen += len(spans.key)
             first, count = spans.first[hit], spans.count[hit]
             last = first + count + scheme.length - 2
             self.blocks.append((i, j, units))
@@ -200,7 +218,7 @@ class Repeats:
             parts["begin"].append(units.begin(first) + base)
             parts["end"].append(units.stop(last) + base)
             base += len(units.data)
-            parts["print"].append(K.Prefix(units.values).slices(first, last + 1) if len(units.values) else np.zeros(0, U64))
+            parts["print"].append(units.prefix.slices(first, last + 1))
             parts["block"].append(np.full(len(hit), n))
         self.__dict__.update({k: np.concatenate(v) for k, v in parts.items()})
         order = np.lexsort((self.doc, self.print, self.count, self.key))
@@ -271,26 +289,59 @@ def _slices(heads: np.ndarray, weight: np.ndarray, limit: int = 1 << 19):
 
 
 def window_repeats(scheme: Scheme, units: Units, key, doc, count, many) -> np.ndarray:
-    """Whether each window of each span (spans in order, windows in order) has a qualifying equal elsewhere."""
-    window = K.ranges(units.offsets[:-1], count)  # first unit of each window
-    span = np.repeat(np.arange(len(count)), count)
-    prefix = K.Prefix(units.values)
-    finger = prefix.slices(window, window + scheme.length)
+    """Whether each window of each span (spans in order, windows in order) has a qualifying equal elsewhere.
+
+    Equal spans, which copies make most of all, form classes first; only windows of distinct spans that
+    share a key are sorted.
+    """
+    begin, end = units.offsets[:-1], units.offsets[1:]
+    finger = units.prefix.slices(begin, end)
+    order = np.lexsort((finger, count, key))
+    a, b = order[:-1], order[1:]
+    same = (key[a] == key[b]) & (count[a] == count[b]) & (finger[a] == finger[b])
+    same[same] = same_bytes(units, begin[a[same]], begin[b[same]], end[a[same]] - begin[a[same]])
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(np.concatenate([[0], ~same])) if len(order) else 0
+    kinds = kind[order[-1]] + 1
+    least = np.full(kinds, np.iinfo(np.int64).max)
+    np.minimum.at(least, kind, doc)
+    all_of = doc > least[kind] if scheme.across else (np.bincount(kind) > 1)[kind] | many
+    out = np.repeat(all_of, count)
+    # one span of each kind, where its key has several kinds
+    rep = np.empty(kinds, np.int64)
+    rep[kind[order[::-1]]] = order[::-1]
+    shared = key[rep[1:]] == key[rep[:-1]]
+    crowded = np.zeros(kinds, bool)
+    crowded[1:] |= shared
+    crowded[:-1] |= shared
+    rep = rep[crowded]
+    if not len(rep):
+        return out
+    window = K.ranges(begin[rep], count[rep])
+    owner = np.repeat(np.arange(len(rep)), count[rep])
+    finger = units.prefix.slices(window, window + scheme.length)
     order = np.argsort(finger, kind="stable")
     same = finger[order][1:] == finger[order][:-1]
     alike = np.zeros(len(window), bool)
     alike[order[1:][same]] = True
     alike[order[:-1][same]] = True
     at = np.flatnonzero(alike)
-    out = np.repeat(many, count) if not scheme.across else np.zeros(len(window), bool)
+    found = np.zeros(len(window), bool)
     if len(at):
-        group = equal_windows(units, prefix, window[at], scheme.length, finger[at])
+        group = equal_windows(units, window[at], scheme.length, finger[at])
         if scheme.across:
-            least = np.full(group.max() + 1, np.iinfo(np.int64).max)
-            np.minimum.at(least, group, doc[span[at]])
-            out[at] = least[group] < doc[span[at]]
+            low = np.full(group.max() + 1, np.iinfo(np.int64).max)
+            mine = least[kind[rep]][owner[at]]
+            np.minimum.at(low, group, mine)
+            found[at] = low[group] < mine
         else:
-            out[at] |= np.bincount(group)[group] > 1
+            found[at] = np.bincount(group)[group] > 1
+    # every span of a kind shares the verdict on its windows
+    place = np.full(kinds, -1)
+    place[kind[rep]] = np.concatenate([[0], np.cumsum(count[rep])[:-1]])
+    spans = np.flatnonzero(place[kind] >= 0)
+    first = np.concatenate([[0], np.cumsum(count)])
+    out[K.ranges(first[spans], count[spans])] |= found[K.ranges(place[kind[spans]], count[spans])]
     return out
 
 
