@@ -1,6 +1,6 @@
 """Toxicity: a support vector machine on a subsequence string kernel, with Nystrom landmarks.
 
-The kernel of two words sums, over all three-letter subsequences that span at most ``SPAN`` letters,
+The kernel of two words sums, over all four-letter subsequences that span at most ``SPAN`` letters (a word's edges count as letters),
 the products of decay^(letters spanned); so an insult keeps most of its subsequences when letters are
 inserted or left out. Landmark words give the Nystrom map z(x) = K_mm^-1/2 k(x, landmarks) and a linear
 SVM is trained on z. Since k(x, l) is a sum over the subsequences of l, the decision w z(x) + b is a sum of
@@ -13,7 +13,7 @@ has a worst word that is found, trained on, and found again. Runs of single lett
 Learning uses at most ``toxic`` + ``clean`` labelled texts, those of smallest id hash; scoring reads every
 whole text. Letters are compared without ASCII case; other signs within words are skipped.
 
-Defined cases: null and empty texts, and texts without a word of three letters, score as a text whose
+Defined cases: null and empty texts, and texts without a word of two letters, score as a text whose
 words share nothing with any landmark; labels repeated for an id count as their maximum; without toxic
 or clean training texts every score is 0; a null id counts as held out; repeated rows score alike; an
 empty table gives an empty result; extra columns are ignored.
@@ -33,53 +33,55 @@ from . import kernels as K
 from .common import held_out
 
 SPAN, DECAY = 6, 0.7
-_GAPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]  # second and third letter, from the first
-_LETTER = np.zeros(256, np.uint32)  # 0: skipped; 1 to 63: a letter class
-_LETTER[97:123] = np.arange(1, 27)
-_LETTER[65:91] = np.arange(1, 27)
-_LETTER[48:58] = np.arange(27, 37)
-_LETTER[128:] = 37 + np.arange(128) % 26
-_LETTER[0xC0:] = 63  # first bytes of longer letters: one class, as the next byte tells them apart
-_TABLE_SIZE = 1 << 18
-
-
-def letters(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Letter classes of words and the words' offsets in them."""
-    cls = _LETTER[data[K.ranges(start, end - start)]]
-    kept = cls > 0
-    count = np.concatenate([[0], np.cumsum(kept)])
-    edges = np.concatenate([[0], np.cumsum(end - start)])
-    return cls[kept], count[edges]
+_GAPS = [(a, b, c) for c in range(3, SPAN) for b in range(2, c) for a in range(1, b)]  # later letters, from the first
+_EDGE, _END = 63, 62
+_LETTER = np.zeros(256, np.uint32)  # 0: skipped; 1 to 61: a letter class
+_LETTER[97:123] = _LETTER[65:91] = np.arange(1, 27)
+_LETTER[48:58] = np.arange(27, 35)[np.arange(10) % 8]
+_LETTER[128:192] = 35 + ((np.arange(128, 192) & 0x3F) | 0x20) % 27  # second bytes, capitals as small letters
+_TABLE_BITS = 21
+_TABLE_SIZE = 1 << _TABLE_BITS
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray):
-    """Words as letter classes: classes, word offsets, and the word range of each document.
+    """Words as letter classes between edge marks: classes, word offsets, and the word range of each document.
 
     Three or more one-letter words in a row become one word.
     """
     start, end, docs = K.words(data, offsets)
-    cls, at = letters(data, start, end)
-    size = np.diff(at)
-    single = size == 1
+    cls = _LETTER[data[K.ranges(start, end - start)]]
+    kept = cls > 0
+    count = np.concatenate([[0], np.cumsum(kept)])
+    at = count[np.concatenate([[0], np.cumsum(end - start)])]
+    cls = cls[kept]
+    single = np.diff(at) == 1
     if single.any():
         doc = np.repeat(np.arange(len(docs) - 1), np.diff(docs))
-        joins = np.zeros(len(size), bool)
+        joins = np.zeros(len(single), bool)
         joins[1:] = single[1:] & single[:-1] & (doc[1:] == doc[:-1])
         head = np.flatnonzero(~joins)
-        run = np.diff(np.append(head, len(size)))
-        split = joins & ~np.repeat(run >= 3, run)
-        keep = ~joins | split
+        run = np.diff(np.append(head, len(single)))
+        keep = ~joins | ~np.repeat(run >= 3, run)
         docs = np.concatenate([[0], np.cumsum(keep)])[docs]
         at = np.append(at[:-1][keep], at[-1])
-    return cls, at, docs
+    n = len(at) - 1
+    marked = np.empty(len(cls) + 2 * n, np.uint32)
+    first = at[:-1] + 2 * np.arange(n)
+    body = np.ones(len(marked), bool)
+    body[first] = False
+    after = at[1:] + 2 * np.arange(n) + 1
+    body[after] = False
+    marked[first], marked[after], marked[body] = _EDGE, _END, cls
+    return marked, at + 2 * np.arange(n + 1), docs
 
 
 def subsequences(cls: np.ndarray, at: np.ndarray):
     """For every gap pattern: positions of first letters, table index and weight."""
-    left = at[1:][np.searchsorted(at[1:], np.arange(len(cls)), "right")] - np.arange(len(cls)) if len(cls) else np.zeros(0, np.int64)
-    for a, b in _GAPS:
-        i = np.flatnonzero(left > b)
-        yield i, (cls[i] << np.uint32(12)) | (cls[i + a] << np.uint32(6)) | cls[i + b], DECAY ** (b + 1)
+    left = np.repeat(at[1:], np.diff(at)) - np.arange(len(cls))
+    for a, b, c in _GAPS:
+        i = np.flatnonzero(left > c)
+        u = (cls[i] << np.uint32(18)) | (cls[i + a] << np.uint32(12)) | (cls[i + b] << np.uint32(6)) | cls[i + c]
+        yield i, (u * np.uint32(0x9E3779B1)) >> np.uint32(32 - _TABLE_BITS), DECAY ** (c + 1)
 
 
 def sums(table: np.ndarray, cls: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -98,10 +100,10 @@ def vectors(cls: np.ndarray, at: np.ndarray):
         words.append(np.searchsorted(at, i, "right") - 1)
         index.append(u)
         weight.append(np.full(len(i), w))
-    key = (np.concatenate(words).astype(np.int64) << 18) | np.concatenate(index).astype(np.int64)
+    key = (np.concatenate(words).astype(np.int64) << _TABLE_BITS) | np.concatenate(index).astype(np.int64)
     key, inverse = np.unique(key, return_inverse=True)
     value = np.bincount(inverse, weights=np.concatenate(weight), minlength=len(key))
-    word = key >> 18
+    word = key >> _TABLE_BITS
     norm = np.sqrt(np.bincount(word, weights=value**2, minlength=len(at) - 1))
     return word, key & (_TABLE_SIZE - 1), value, np.maximum(norm, 1e-9)
 
@@ -153,7 +155,7 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.shift, -40, 40)))
 
 
-def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 400, l2: float = 1e-4) -> tuple[np.ndarray, float]:
+def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 200, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Linear SVM, squared hinge loss, full-batch Adam."""
     w, b = np.zeros(z.shape[1]), 0.0
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
@@ -169,24 +171,26 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 400, l2:
 
 
 def _first_guess(cls, at, uid, doc_of, toxic_doc) -> np.ndarray:
-    """Log-odds with which a word's letter 4-grams point to toxic texts, for every distinct word; the best gram counts."""
+    """Log-odds with which a word's letter 4- to 6-grams point to toxic texts, for every distinct word; the best gram counts."""
     n = len(at) - 1
-    grams = K.Prefix(cls.astype(np.uint64)).windows(4)
-    left = at[1:][np.searchsorted(at[1:], np.arange(len(grams)), "right")] - np.arange(len(grams))
-    position = np.flatnonzero(left >= 4)
-    gram = (grams[position] >> np.uint64(42)).astype(np.int64)
-    word = np.searchsorted(at, position, "right") - 1
-    by_word = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=n))])
-    count = np.diff(by_word)[uid]
-    pairs = np.unique((np.repeat(doc_of, count).astype(np.int64) << 22) | gram[K.ranges(by_word[:-1][uid], count)])
-    toxic = toxic_doc[pairs >> 22]
-    g = pairs & ((1 << 22) - 1)
-    t = np.bincount(g[toxic], minlength=1 << 22)
-    c = np.bincount(g[~toxic], minlength=1 << 22)
-    odds = np.log((t + 0.05) / (toxic_doc.sum() + 1)) - np.log((c + 0.5) / ((~toxic_doc).sum() + 1))
-    odds[t < 2] = -9
     best = np.full(n, -9.0)
-    np.maximum.at(best, word, odds[gram])
+    prefix = K.Prefix(cls.astype(np.uint64))
+    for size in (4, 5, 6):
+        grams = prefix.windows(size)
+        left = np.repeat(at[1:], np.diff(at))[: len(grams)] - np.arange(len(grams))
+        position = np.flatnonzero(left >= size)
+        gram = (grams[position] >> np.uint64(42)).astype(np.int64)
+        word = np.searchsorted(at, position, "right") - 1
+        by_word = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=n))])
+        count = np.diff(by_word)[uid]
+        pairs = np.unique((np.repeat(doc_of, count).astype(np.int64) << 22) | gram[K.ranges(by_word[:-1][uid], count)])
+        toxic = toxic_doc[pairs >> 22]
+        g = pairs & ((1 << 22) - 1)
+        t = np.bincount(g[toxic], minlength=1 << 22)
+        c = np.bincount(g[~toxic], minlength=1 << 22)
+        odds = np.log((t + 0.05) / (toxic_doc.sum() + 1)) - np.log((c + 0.5) / ((~toxic_doc).sum() + 1))
+        odds[t < 2] = -9
+        np.maximum.at(best, word, odds[gram])
     return best
 
 
@@ -212,7 +216,7 @@ def fit_toxicity(texts, toxic: np.ndarray, landmarks: int = 160, rounds: int = 4
     bags = np.flatnonzero(toxic[doc_of[head]])
     ends = np.append(head[1:], len(doc_of))
     machine, hard = None, np.zeros(0, np.int64)
-    clean_words = np.flatnonzero(in_clean & (np.diff(at) >= 3))
+    clean_words = np.flatnonzero(in_clean & (np.diff(at) >= 4))
     for turn in range(rounds):
         worst = np.array([head[b] + np.argmax(score[uid[head[b] : ends[b]]]) for b in bags])
         found, times = np.unique(uid[worst][score[uid[worst]] > (0 if turn else -9)], return_counts=True)
