@@ -5,11 +5,286 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import scoring, text, urls
+from ..functions.html import extract_html
+from ..operators import analytics, chunks, crawl, export, filtering
+from ..plans.session import ship
+from ..sources import files, seeds
+from . import adapters
+from . import oracle as O
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def hard_filter_reasons(spark, d):
+    r = adapters.records(spark, d)
+    return r.select("doc_id", F.coalesce(filtering.hard_reason(), F.lit("kept")).alias("reason"), filtering.effective_chars().alias("effective_char_count"))
+
+
+def _ready(spark, d, variant):
+    r = filtering.with_effective(adapters.records(spark, d, variant))
+    return r.where(filtering.hard_reason().isNull()).withColumns(filtering.rank_columns())
+
+
+def url_dedup_keep_best(spark, d):
+    narrow = _ready(spark, d, "records_recrawl").select("ord", "doc_id", "url", "effective_url", "r_priority", "r_topic", "r_size", "r_line")
+    return filtering.keep_best(narrow, "effective_url", "duplicate_url").select("doc_id", "effective_url", F.coalesce("reason", F.lit("kept")).alias("decision"), "kept_doc_id")
+
+
+def content_dedup_keep_best(spark, d):
+    narrow = _ready(spark, d, "records_ok").select("ord", "doc_id", "url", "effective_content_hash", "r_priority", "r_topic", "r_size", "r_line")
+    return filtering.keep_best(narrow, "effective_content_hash", "duplicate_content_hash").select("doc_id", F.coalesce("reason", F.lit("kept")).alias("decision"), "kept_doc_id", F.col("effective_content_hash_removed_count").alias("n_removed"))
+
+
+def dedup_backrefs(spark, d):
+    narrow = _ready(spark, d, "records_recrawl").select("ord", "doc_id", "url", "effective_url", "r_priority", "r_topic", "r_size", "r_line")
+    best = filtering.keep_best(narrow, "effective_url", "duplicate_url").where("is_best")
+    return best.where("effective_url_removed_count > 0").select("doc_id", F.array_join("merged_ids", ",").alias("merged_doc_ids"), F.array_join("loser_urls", ",").alias("duplicate_urls"), F.col("effective_url_removed_count").alias("n_removed"))
+
+
+def topic_tag_merge(spark, d):
+    rows = _ready(spark, d, "records_ok").select("ord", "effective_content_hash", "topic_tags", "level_1", "level_2")
+    return filtering.merged_tags(rows, "effective_content_hash").select("effective_content_hash", F.array_join(F.array_sort("topic_tags"), "|").alias("tags"), F.size("topic_tags").alias("topic_count"))
+
+
+def low_value_reasons(spark, d):
+    r = adapters.records(spark, d)
+    return r.select("doc_id", F.coalesce(filtering.low_value_reason(), F.lit("none")).alias("reason"))
+
+
+def source_caps(spark, d):
+    decided = filtering.decide(adapters.records(spark, d, "records_ok"))
+    kept = decided.where("filter_decision = 'kept'").select("doc_id", F.lit("kept").alias("decision"), F.coalesce("source_limit_group", F.lit("")).alias("source_limit_group"), "source_priority", F.coalesce("source_priority_original", F.lit("")).alias("source_priority_original"))
+    over = decided.where("filter_decision = 'removed'").where(F.get("reasons", F.lit(0)).startswith("source_limit_exceeded_")).select("doc_id", F.array_join("reasons", ",").alias("decision"), F.lit("").alias("source_limit_group"), F.lit("").alias("source_priority"), F.lit("").alias("source_priority_original"))
+    return kept.unionByName(over)
+
+
+def filtered_corpus(spark, d):
+    return filtering.filtered_corpus(adapters.records(spark, d)).select("doc_id", "url", "level_1", "level_2", "source_priority", "effective_char_count", "filter_run_order")
+
+
+def filter_decisions(spark, d):
+    return filtering.decide(adapters.records(spark, d, "records_recrawl")).select("doc_id", "filter_decision", F.coalesce(F.array_join("reasons", ","), F.lit("")).alias("reasons"))
+
+
+def filter_stats(spark, d):
+    return analytics.filter_stats(filtering.decide(adapters.records(spark, d)))
+
+
+def frequency_most_common(spark, d):
+    return analytics.most_common(adapters.chunks(spark, d), F.col("level_2"))
+
+
+FIELDS = ["level_1", "knowledge_domain", "knowledge_category", "coin", "chain", "source_priority", "crawl_type", "source_authority"]
+
+
+def field_distributions(spark, d):
+    return analytics.distributions(adapters.chunks(spark, d), FIELDS)
+
+
+def chunk_params_and_caps(spark, d):
+    r = adapters.records(spark, d)
+    p = chunks.chunk_params(r.columns)
+    return r.select("doc_id", p["size"].alias("chunk_size"), p["overlap"].alias("overlap"), chunks.document_cap(r.columns, chunks.ChunkConfig(max_chunks=100)).alias("doc_cap"))
+
+
+def chunk_documents(spark, d):
+    made, _ = chunks.chunk_documents(adapters.records(spark, d))
+    return made.select("chunk_id", "doc_id", "chunk_index", "chunk_char_count", "chunk_hash", "chunk_count_in_doc", "embedding_text")
+
+
+def chunk_skips(spark, d):
+    return chunks.chunk_documents(adapters.records(spark, d))[1].select("doc_id", "reason", "char_count")
+
+
+def chunk_dedup(spark, d):
+    made, _ = chunks.chunk_documents(adapters.records(spark, d))
+    return chunks.first_of(made.select("chunk_hash", "ord", "chunk_index", "chunk_id", "chunk_char_count"), "chunk_hash", "ord", "chunk_index").select("chunk_id", "chunk_hash", "chunk_char_count")
+
+
+def line_dedup_first(spark, d):
+    return chunks.first_of(adapters.chunks(spark, d).select("chunk_hash", "ord", "chunk_id"), "chunk_hash", "ord").select("chunk_id", "chunk_hash")
+
+
+def chunk_length_stats(spark, d):
+    s = analytics.length_stats(adapters.chunks(spark, d), "chunk_char_count")
+    return s.withColumn("avg_len", F.round("avg_len", 6))
+
+
+def top_docs(spark, d):
+    return analytics.documents_by_chunks(adapters.chunks(spark, d)).select("doc_id", "n", "title", "url")
+
+
+def chunks_per_document(spark, d):
+    per = adapters.chunks(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"))
+    return per.agg(F.count(F.lit(1)).alias("documents"), F.max("c").alias("max_chunks"), F.round(F.avg("c"), 6).alias("avg_chunks"))
+
+
+def embedding_text(spark, d):
+    r = adapters.records(spark, d)
+    meta = r.select("content", *[c.alias(n) for n, c in chunks.metadata(r.columns).items()])
+    return meta.select("doc_id", F.sha2(chunks.embedding_text(F.col("content")), 256).alias("embedding_sha"), "topic_count", "char_count")
+
+
+def normalize_lines(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    out = text.normalize_lines(F.col("text"))
+    return docs.select("doc_id", F.length(out).cast("long").alias("n"), F.sha2(out, 256).alias("sha"))
+
+
+def text_normalize_export(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return docs.select("doc_id", F.sha2(text.normalize_export(F.col("text")), 256).alias("sha"), F.length(text.meta_value(F.col("text"))).cast("long").alias("one_line_chars"))
+
+
+def line_uniqueness(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return docs.select("doc_id", F.round(text.unique_line_ratio(F.col("text")), 9).alias("unique_line_ratio"))
+
+
+def library_classification(spark, d):
+    c = adapters.chunks(spark, d)
+    return c.select("chunk_id", F.coalesce(export.library(c.columns), F.lit("none")).alias("library"))
+
+
+def export_blocks(spark, d):
+    c = adapters.chunks(spark, d)
+    return c.select("chunk_id", F.sha2(export.block(c.columns), 256).alias("block_sha"))
+
+
+def balanced_library(spark, d):
+    return export.balanced(adapters.chunks(spark, d)).select("chunk_id", "library")
+
+
+def library_distributions(spark, d):
+    return export.library_distributions(adapters.chunks(spark, d), ["source_priority", "level_1", "knowledge_domain", "crawl_type", "coin", "chain", "source_name"])
+
+
+def part_packing(spark, d):
+    c = adapters.chunks(spark, d)
+    blocks = c.withColumn("library", export.library(c.columns)).where("library is not null").select("library", "ord", export.block(c.columns).alias("block"))
+    return export.pack_parts(blocks, 200_000)
+
+
+def topn_with_other(spark, d):
+    counts = analytics.most_common(adapters.chunks(spark, d), F.col("level_2"))
+    return analytics.top_with_other(counts, 12).withColumn("percent", F.round("percent", 6))
+
+
+def _seeds(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return docs.selectExpr("doc_id as ord", "concat('S', cast(doc_id as string)) as id", "concat('https://', source, '.example.org/', cast(doc_id as string)) as url", "case doc_id % 4 when 0 then 'A' when 1 then 'b' else 'C' end as source_priority", "lang as level_1", "doc_id % 9 <> 0 as crawl_enabled", "case doc_id % 6 when 0 then 'html' when 1 then 'pdf' when 2 then 'html_crawl' when 3 then 'github_repo' when 4 then 'github_markdown' else 'ftp' end as crawl_type")
+
+
+def seed_selection(spark, d):
+    chosen, disabled = seeds.select_seeds(_seeds(spark, d), limit=200, source_priority=["a", "B"], level_1=["EN", "de"])
+    return chosen.select("id", F.lit("selected").alias("outcome")).unionByName(disabled.select("id", F.lit("disabled").alias("outcome")))
+
+
+def crawl_dispatch(spark, d):
+    return seeds.dispatch(_seeds(spark, d)).select("id", F.coalesce("family", F.lit("failed")).alias("family"), F.coalesce("error", F.lit("")).alias("error"))
+
+
+def record_projection(spark, d):
+    r = adapters.records(spark, d)
+    sid = seeds.source_id(F.lit(None).cast("string"), F.when(F.col("ord") % 2 == 0, F.col("source_id")), F.col("seed_url"), F.col("url"), F.col("source_name"))
+    url = F.when(F.col("ord") % 5 == 0, F.col("seed_url")).otherwise(F.col("url"))
+    made = seeds.record(url, F.col("title"), F.col("content"), F.col("status"), F.lit(None).cast("string"))
+    return r.select(F.col("doc_id").alias("row_id"), seeds.document_id(sid, url, F.col("seed_url")).alias("doc_id"), sid.alias("source_id"), made["content_hash"].alias("content_hash"), made["char_count"].alias("char_count"))
+
+
+def upsert_keep_last(spark, d):
+    rows = adapters.records(spark, d, "records_recrawl").withColumn("key", F.regexp_replace("doc_id", "R$", ""))
+    return files.upsert(None, rows.select("key", "ord", "doc_id", "source_priority"), key="key").select("key", "doc_id", "source_priority", "first_ord")
+
+
+def safe_names(spark, d):
+    r = adapters.records(spark, d)
+    p = urls.parts(F.col("url"))
+    return r.select("doc_id", text.safe_name_from_url(F.col("url"), p["netloc"], p["path"], ".html", F.col("source_id")).alias("url_name"), text.safe_name_from_path(F.coalesce("github_path", F.lit("/"))).alias("path_name"))
+
+
+def canonical_urls(spark, d):
+    pages = spark.read.parquet(f"{d}/pages.parquet")
+    return pages.select("page_id", urls.canonical_url(F.col("url")).alias("canonical"))
+
+
+def github_url_parts(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    made = docs.selectExpr("doc_id", "case doc_id % 4 when 0 then concat('https://github.com/', source, '/', lang, '/blob/main/doc/', cast(doc_id as string), '.md') when 1 then concat('https://raw.githubusercontent.com/', source, '/', lang, '/dev/x/', cast(doc_id as string), '.md') when 2 then concat('https://github.com/', source, '/', lang) else 'https://example.org/a/b' end as url")
+    f, r = urls.github_file(F.col("url")), urls.github_repo(F.col("url"))
+    none = F.lit("")
+    return made.select("doc_id", F.coalesce(r["owner"], none).alias("repo_owner"), F.coalesce(f["branch"], none).alias("branch"), F.coalesce(f["path"], none).alias("path"), F.coalesce(f["raw_url"], none).alias("raw_url"), F.coalesce(f["page_url"], none).alias("page_url"))
+
+
+def _links(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return docs.selectExpr("doc_id", "concat('https://', source, '.example.org/', case doc_id % 8 when 0 then 'docs/api/' when 1 then 'blog/news' when 2 then 'file.PDF' when 3 then 'next.js/intro' when 4 then 'wallet/fees/gas' when 5 then 'login' when 6 then '' else 'a' end) as url", "case doc_id % 3 when 0 then 'Token transfer' when 1 then 'Sign up' else '' end as anchor", "case doc_id % 4 when 0 then 'A' when 1 then 'B' when 2 then 'C' else 'D' end as priority", "case when doc_id % 5 = 0 then 'official site' else '' end as authority", "case when doc_id % 6 = 0 then 'chain_model' else 'misc' end as domain", "cast(doc_id % 4 as int) as depth")
+
+
+def link_admission(spark, d):
+    return _links(spark, d).select("doc_id", F.coalesce(urls.admission(F.col("url")), F.lit("admitted")).alias("reason"))
+
+
+def link_scores(spark, d):
+    s = scoring.link_score(F.col("url"), F.col("anchor"), F.col("priority"), F.col("authority"), F.col("domain"), F.col("depth"))
+    return _links(spark, d).select("doc_id", s["hundredths"].alias("score_hundredths"), F.array_join(s["reasons"], " ").alias("reasons"))
+
+
+def page_quality(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet").selectExpr("doc_id", "text", "case doc_id % 6 when 0 then 'Docs' when 1 then 'Access denied' when 2 then 'Sign in' else 'Page' end as title", "case doc_id % 7 when 0 then '<div id=\"root\"></div>' when 1 then 'Please enable JavaScript' else '<p>' end as html", "cast(doc_id % 150 as int) as links")
+    q = scoring.page_quality(F.col("title"), F.col("text"), F.col("html"), F.col("links"))
+    return docs.select("doc_id", q["hundredths"].alias("score_hundredths"), F.array_join(q["flags"], ",").alias("flags"))
+
+
+def metadata_confidence(spark, d):
+    rows = _links(spark, d)
+    m = scoring.metadata_confidence(F.col("url"), F.lit("Page"), F.col("priority"), F.col("depth"), (F.col("doc_id") % 100).cast("int"))
+    return rows.select("doc_id", m["hundredths"].alias("confidence_hundredths"), m["review"].alias("needs_review"))
+
+
+def html_extract(spark, d):
+    ship(spark)
+    pages = spark.read.parquet(f"{d}/pages.parquet")
+    x = extract_html("html", "url")
+    return pages.select("page_id", x.alias("x")).select("page_id", "x.title", F.sha2("x.content", 256).alias("content_sha"), F.size("x.links").alias("n_links"), "x.link_count")
+
+
+def _site(spark, d):
+    pages = spark.read.parquet(f"{d}/pages.parquet")
+    clean = pages.withColumn("url", urls.canonical_url(F.col("url"))).where("url <> ''")
+    host = urls.parts(F.col("url"))["netloc"]
+    sources = clean.groupBy(host.alias("source_id")).agg(F.min("url").alias("seed_url")).withColumns({"source_priority": F.lit("A"), "max_pages": F.lit(30), "max_depth": F.lit(2)})
+    return crawl.crawl_site(sources, clean)
+
+
+def site_crawl(spark, d):
+    return _site(spark, d)[0].select("source_id", "url", "status", "discovery_depth", F.round("link_score", 4).alias("link_score"), "content_quality_score", "needs_metadata_review")
+
+
+def site_links(spark, d):
+    _, found, dropped = _site(spark, d)
+    return found.select("source_id", "url", "parent_url", F.lit("discovered").alias("outcome")).unionByName(dropped.select("source_id", "url", "parent_url", F.col("reason").alias("outcome")))
+
+
+def crawl_summary(spark, d):
+    return analytics.crawl_summary(adapters.records(spark, d))
+
+
+QUERIES = (
+    hard_filter_reasons, url_dedup_keep_best, content_dedup_keep_best, dedup_backrefs, topic_tag_merge, low_value_reasons, source_caps, filtered_corpus, filter_decisions, filter_stats,
+    frequency_most_common, field_distributions, chunk_params_and_caps, chunk_documents, chunk_skips, chunk_dedup, line_dedup_first, chunk_length_stats, top_docs, chunks_per_document, embedding_text,
+    normalize_lines, text_normalize_export, line_uniqueness, library_classification, export_blocks, balanced_library, library_distributions, part_packing, topn_with_other,
+    seed_selection, crawl_dispatch, record_projection, upsert_keep_last, safe_names, canonical_urls, github_url_parts, link_admission, link_scores, page_quality, metadata_confidence,
+    html_extract, site_crawl, site_links, crawl_summary,
+)
+
+
+def queries() -> dict[str, Query]:
+    return {q.__name__: q for q in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return O.oracle_sql()
