@@ -227,5 +227,5 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str
     """The rows of docs that stay: of each component the document of smallest id, once; rows without id stay."""
     kept = near_duplicates(docs, width, percent, id_column=id_column, text_column=text_column).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
     key = F.col(f"`{id_column}`")
-    rows = docs.join(kept, key == F.col("_kept_id"), "left_semi").dropDuplicates([id_column])
+    rows = docs.join(kept, docs[f"`{id_column}`"].cast("long") == kept["_kept_id"], "left_semi").dropDuplicates([id_column])
     return rows.unionByName(docs.where(key.isNull()))

@@ -100,12 +100,12 @@ def _facts(docs: DataFrame, weights, max_epochs, seed, id_column, text_column, s
 
 
 def _decide(docs: DataFrame, weights, max_epochs, seed, id_column, text_column, source_column) -> DataFrame:
-    """docs with ``_size, _source_size, _target, _times``. The join is salted: a source may be hot."""
+    """``_row`` (a row of docs), ``_size, _source_size, _target, _times``. The join is salted: a source may be hot."""
     facts, _ = _facts(docs, weights, max_epochs, seed, id_column, text_column, source_column)
     text = F.col(text_column).cast("string")
     salted = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("k", "_k")
     salted = salted.select("_k", "_salt", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("whole").alias("_whole"), F.col("stop").alias("_stop"), F.col("filler").alias("_filler"))
-    keyed = docs.withColumns({"_k": source_key(F.col(source_column)), "_size": word_count(text), "_h": order_key(seed, id_column, text)})
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), source_key(F.col(source_column)).alias("_k"), word_count(text).alias("_size"), order_key(seed, id_column, text).alias("_h"))
     keyed = keyed.withColumn("_salt", F.pmod(F.crc32("_h"), F.lit(SALTS)).cast("int"))
     joined = keyed.join(salted, ["_k", "_salt"])
     extra = F.when(F.col("_stop").isNotNull() & ((F.col("_h") < F.col("_stop")) | F.coalesce(F.col("_h") == F.col("_filler"), F.lit(False))), 1).otherwise(0)
@@ -116,14 +116,14 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: in
     """Per document: its size, its source's size and target in words, and the words the mix takes of it."""
     narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.col(source_column).alias("source"))
     out = _decide(narrow, weights, max_epochs, seed, "doc_id", "text", "source")
-    return out.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_times") * F.col("_size")).alias("taken"))
+    return out.select("_row.doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_times") * F.col("_size")).alias("taken"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3, seed: str = "mix", id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
     """The mixed documents: each row as many times as the mix takes it, with its own columns."""
     out = _decide(docs, weights, max_epochs, seed, id_column, text_column, source_column)
     copies = out.where(F.col("_times") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-    return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return copies.select("_row.*")
 
 
 MIX_SQL = r"""

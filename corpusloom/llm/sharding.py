@@ -61,11 +61,11 @@ def table_frame(spark: SparkSession, shards: Sequence[str] = SHARDS, slots: int
 
 def shard(docs: DataFrame, shards: Sequence[str] = SHARDS, slots: int = SLOTS, key_column: str = "doc_id") -> DataFrame:
     """docs with ``slot`` and ``shard``: a projection and a broadcast lookup, no shuffle."""
-    kept = [c for c in docs.columns if c.lower() not in ("slot", "shard") or c == key_column]
-    keyed = docs.select(*[F.col(f"`{c}`") for c in kept], slot_of(F.col(f"`{key_column}`"), slots).alias("_slot"))
-    lookup = table_frame(docs.sparkSession, shards, slots).withColumnsRenamed({"slot": "_slot", "shard": "_shard"})
-    joined = keyed.join(F.broadcast(lookup), "_slot")
-    return joined.select(*[F.col(f"`{c}`") for c in kept if c.lower() not in ("slot", "shard")], F.col("_slot").alias("slot"), F.col("_shard").alias("shard"))
+    kept = [c for c in docs.columns if c.lower() not in ("slot", "shard")]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("none"))
+    keyed = docs.select(row.alias("_row"), slot_of(F.col(f"`{key_column}`"), slots).alias("slot"))
+    joined = keyed.join(F.broadcast(table_frame(docs.sparkSession, shards, slots)), "slot")
+    return joined.select(*(["_row.*"] if kept else []), "slot", "shard")
 
 
 def shard_sql(shards: Sequence[str] = SHARDS, slots: int = SLOTS) -> str:

@@ -107,8 +107,10 @@ def _blocks(scheme: Scheme, data: np.ndarray, offsets: np.ndarray):
 
 def _bucket_slices(keys: np.ndarray, buckets: int):
     """Ranges of the sorted keys that fall into each bucket that has any."""
+    if not len(keys):
+        return
     bucket = (keys * U64(buckets)) >> U64(KEY_BITS) if buckets < 1 << 15 else (keys >> U64(16)) * U64(buckets) >> U64(KEY_BITS - 16)
-    cut = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1]) if len(keys) else np.zeros(0, np.int64)
+    cut = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1])
     for s, e in zip(cut, np.append(cut[1:], len(keys)), strict=True):
         yield int(bucket[s]), int(s), int(e)
 
