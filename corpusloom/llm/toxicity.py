@@ -135,12 +135,15 @@ class Machine:
 
     def decide(self, table, cls, at) -> np.ndarray:
         """Decision value of each word. Norms are needed only where the sum is above zero."""
-        s = sums(table, cls, at)
-        out = np.full(len(s), self.intercept)
-        up = np.flatnonzero(s > 0.02)
-        if len(up):
-            *_, norm = vectors(*_take(cls, at, up))
-            out[up] += s[up] / norm
+        out = np.full(len(at) - 1, self.intercept)
+        for i in range(0, len(out), 1 << 15):  # some words at a time, to bound memory
+            j = min(len(out), i + (1 << 15))
+            some, edges = cls[at[i] : at[j]], at[i : j + 1] - at[i]
+            s = sums(table, some, edges)
+            up = np.flatnonzero(s > 0.02)
+            if len(up):
+                *_, norm = vectors(*_take(some, edges, up))
+                out[i + up] += s[up] / norm
         return out
 
     def texts(self, data, offsets, table) -> np.ndarray:
@@ -155,6 +158,18 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.shift, -40, 40)))
 
 
+def _project(row, column, value, basis, rows: int, step: int = 512) -> np.ndarray:
+    """Sparse rows (sorted by row) times a dense basis, some rows at a time."""
+    out = np.zeros((rows, basis.shape[1]))
+    edges = np.searchsorted(row, np.arange(0, rows + step, step))
+    for s, e in zip(edges[:-1], edges[1:], strict=True):
+        if e > s:
+            part = value[s:e, None] * basis[column[s:e]]
+            heads = np.flatnonzero(np.concatenate([[True], row[s:e][1:] != row[s:e][:-1]]))
+            out[row[s:e][heads]] = np.add.reduceat(part, heads, axis=0)
+    return out
+
+
 def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 200, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Linear SVM, squared hinge loss, full-batch Adam."""
     w, b = np.zeros(z.shape[1]), 0.0
@@ -182,12 +197,15 @@ def _first_guess(cls, at, uid, doc_of, toxic_doc) -> np.ndarray:
         gram = (grams[position] >> np.uint64(42)).astype(np.int64)
         word = np.searchsorted(at, position, "right") - 1
         by_word = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=n))])
-        count = np.diff(by_word)[uid]
-        pairs = np.unique((np.repeat(doc_of, count).astype(np.int64) << 22) | gram[K.ranges(by_word[:-1][uid], count)])
-        toxic = toxic_doc[pairs >> 22]
-        g = pairs & ((1 << 22) - 1)
-        t = np.bincount(g[toxic], minlength=1 << 22)
-        c = np.bincount(g[~toxic], minlength=1 << 22)
+        many = np.diff(by_word)
+        t, c = np.zeros(1 << 22, np.int32), np.zeros(1 << 22, np.int32)
+        cuts = np.searchsorted(doc_of, np.arange(0, len(toxic_doc) + 256, 256))
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):  # some texts at a time; each counts a gram once
+            ids = uid[s:e]
+            pairs = np.unique((np.repeat(doc_of[s:e], many[ids]) << 22) | gram[K.ranges(by_word[:-1][ids], many[ids])])
+            g, is_toxic = pairs & ((1 << 22) - 1), toxic_doc[pairs >> 22]
+            np.add.at(t, g[is_toxic], 1)
+            np.add.at(c, g[~is_toxic], 1)
         odds = np.log((t + 0.05) / (toxic_doc.sum() + 1)) - np.log((c + 0.5) / ((~toxic_doc).sum() + 1))
         odds[t < 2] = -9
         np.maximum.at(best, word, odds[gram])
@@ -202,10 +220,12 @@ def fit_toxicity(texts, toxic: np.ndarray, landmarks: int = 160, rounds: int = 4
     data, offsets = K.buffers(texts)
     cls, at, docs = tokens(data, offsets)
     doc_of = np.repeat(np.arange(len(docs) - 1), np.diff(docs))
+    K.tame_memory()
     _, first, uid = np.unique(word_prints(cls, at), return_index=True, return_inverse=True)
     cls, at = _take(cls, at, first)
     keys = np.unique((doc_of.astype(np.int64) << 32) | uid)
-    doc_of, uid = keys >> 32, (keys & 0xFFFFFFFF).astype(np.int64)
+    doc_of, uid = keys >> 32, keys & 0xFFFFFFFF
+    del data, offsets, first, keys
     n = len(at) - 1
     if not n:
         return None
@@ -222,7 +242,7 @@ def fit_toxicity(texts, toxic: np.ndarray, landmarks: int = 160, rounds: int = 4
         found, times = np.unique(uid[worst][score[uid[worst]] > (0 if turn else -9)], return_counts=True)
         if not len(found) or not len(clean_words):
             return machine
-        some = np.unique(np.concatenate([rng.choice(clean_words, min(6000, len(clean_words)), replace=False), hard]))
+        some = np.unique(np.concatenate([rng.choice(clean_words, min(4000, len(clean_words)), replace=False), hard]))
         rows = np.concatenate([found, some])
         y = np.concatenate([np.ones(len(found)), -np.ones(len(some))])
         weight = np.concatenate([times / times.sum() * 0.3, np.full(len(some), 0.7 / len(some))])
@@ -235,16 +255,15 @@ def fit_toxicity(texts, toxic: np.ndarray, landmarks: int = 160, rounds: int = 4
         xw, xu, xv, xn = vectors(*_take(cls, at, rows))
         where = np.searchsorted(used, xu)
         hit = (where < len(used)) & (used[np.minimum(where, len(used) - 1)] == xu)
-        dense = np.zeros((len(rows), len(used)), np.float32)
-        dense[xw[hit], where[hit]] = (xv / xn[xw])[hit]
         value, basis = np.linalg.eigh(land @ land.T)
         good = value > 1e-6 * value.max()
         half = basis[:, good] / np.sqrt(value[good])  # K_mm^-1/2 up to a rotation
-        w, b = _svm(dense @ (land.T @ half), y, weight)
+        z = _project(xw[hit], where[hit], (xv / xn[xw])[hit], land.T @ half, len(rows))
+        w, b = _svm(z, y, weight)
         entry = land.T @ (half @ w)
         machine = Machine(used.astype(np.int64), entry, b, 1.0, 0.0)
         score = machine.decide(machine.table(), cls, at)
-        top = clean_words[np.argsort(-score[clean_words], kind="stable")[:3000]]
+        top = clean_words[np.argsort(-score[clean_words], kind="stable")[:2000]]
         hard = np.unique(np.concatenate([hard, top]))
     top = np.maximum.reduceat(score[uid], head)
     return _calibrate(machine, top, toxic[doc_of[head]])
@@ -264,7 +283,7 @@ def _calibrate(machine: Machine, top: np.ndarray, toxic: np.ndarray) -> Machine:
     return Machine(machine.index, machine.value, machine.intercept, float(max(a, 0.1)), float(b))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, toxic: int = 2500, clean: int = 3500, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Machine | None:
+def train_toxicity(docs: DataFrame, labels: DataFrame, toxic: int = 1000, clean: int = 1600, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Machine | None:
     ship(docs.sparkSession)
     marks = labels.select(F.col(id_column).cast("long").alias("id"), F.col(label_column).cast("int").alias("y")).where("id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y")).where(~held_out(4, 2, "id"))
     order = [F.xxhash64("id"), F.col("id")]
