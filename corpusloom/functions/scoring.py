@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import contains_any, matched_words, strip, text_of, unique_line_ratio
+from .text import contains_any, let, matched_words, strip, text_of
 from .urls import parts
 
 GOOD_WORDS = "account address allowance aml api approval block blocks bridge compliance consensus contract deposit developers docs fee fees gas liquidity mev mixer privacy protocol red-flag red-flags reference risk sanctions smart-contract smart-contracts staking swap token transaction transactions transfer wallet withdraw".split()
@@ -63,25 +63,44 @@ def link_score(url: Column, anchor: Column, priority: Column, authority: Column,
 
 def page_quality(title: Column, content: Column, html: Column, links: Column, least_chars: Column | int = 300) -> Column:
     """struct(score in hundredths, flags) of a page; ``links`` is its number of anchors with an href."""
-    text, page = text_of(content), F.lower(text_of(html))
-    both = F.lower(F.concat(text_of(title), F.lit("\n"), text))
+    text = text_of(content)
     n = F.length(text)
     least = least_chars if isinstance(least_chars, Column) else F.lit(least_chars)
-    script = contains_any(both, ["enable javascript"]) | contains_any(page, ["enable javascript"])
-    shell = (n < 200) & contains_any(page, ["id='root'", 'id="root"', "id='__next'", 'id="__next"', "window.__"])
-    lines = F.filter(F.transform(F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n"), strip), lambda x: x != "")
+    marks = F.array(F.lower(F.concat(text_of(title), F.lit("\n"), text)), F.lower(text_of(html)))
+
+    def words_in(t: Column) -> Column:
+        """The word tests, in one pass over a text that is lower-cased once."""
+        both, page = F.get(t, F.lit(0)), F.get(t, F.lit(1))
+        tests = {
+            "script": F.contains(both, F.lit("enable javascript")) | F.contains(page, F.lit("enable javascript")),
+            "shell": contains_any(page, ["id='root'", 'id="root"', "id='__next'", 'id="__next"', "window.__"], lowered=True),
+            "cookie": contains_any(both, ["consent", "cookies", "manage preferences", "privacy preferences"], lowered=True),
+            "access": contains_any(both, ["too many requests", "request blocked", "forbidden", "captcha", "access denied"], lowered=True),
+            "login": contains_any(both, ["login", "log in", "sign in"], lowered=True),
+        }
+        return F.struct(*[v.alias(k) for k, v in tests.items()])
+
+    def line_counts(x: Column) -> Column:
+        return F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct"))
+
+    filled = F.filter(F.transform(F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n"), strip), lambda x: x != "")
+    facts = let(F.struct(let(marks, words_in).alias("w"), let(filled, line_counts).alias("l"), n.alias("n"), (strip(text) == "").alias("blank")), lambda f: _judge(f, title, links, least))
+    return facts
+
+
+def _judge(f: Column, title: Column, links: Column, least: Column) -> Column:
+    n, lines, blank, word = f["n"], f["l"], f["blank"], f["w"]
     named = F.lower(strip(text_of(title))).isin(NAVIGATION_TITLES)
-    blank = strip(text) == ""
     steps = [
         ("empty_content", blank, 90),
         ("content_too_short", ~blank & (n < least), 25),
-        ("likely_js_shell", script | shell, 35),
-        ("likely_cookie_or_consent_page", contains_any(both, ["consent", "cookies", "manage preferences", "privacy preferences"]) & (n < 1200), 30),
-        ("likely_access_denied", contains_any(both, ["too many requests", "request blocked", "forbidden", "captcha", "access denied"]), 55),
-        ("low_unique_line_ratio", (F.size(lines) >= 20) & (unique_line_ratio(text) < 0.45), 15),
+        ("likely_js_shell", word["script"] | ((n < 200) & word["shell"]), 35),
+        ("likely_cookie_or_consent_page", word["cookie"] & (n < 1200), 30),
+        ("likely_access_denied", word["access"], 55),
+        ("low_unique_line_ratio", (lines["n"] >= 20) & (lines["distinct"] / F.greatest(lines["n"], F.lit(1)) < 0.45), 15),
         ("too_many_links_low_text", (links >= 80) & (n / F.greatest(links, F.lit(1)) < 60), 20),
         ("likely_navigation_page", (named & (links >= 30) & (n < 2500)) | ((links >= 120) & (n < 4000)), 25),
-        ("likely_login_page", contains_any(both, ["login", "log in", "sign in"]), 25),
+        ("likely_login_page", word["login"], 25),
     ]
     total, flags = F.lit(100), []
     for name, test, cost in steps:

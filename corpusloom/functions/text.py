@@ -8,11 +8,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: What Python's str.strip removes: Unicode white space and the four ASCII separators.
-_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGES, "")
+    """A set of characters trimmed from both ends; no regular expression is run."""
+    return F.btrim(c, F.lit(SPACES))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def text_of(c: Column) -> Column:
@@ -87,9 +93,9 @@ def parse_list(c: Column) -> Column:
     return F.when(s == "", F.array().cast("array<string>")).when(s.startswith("[") & s.endswith("]") & loaded.isNotNull(), _pieces(loaded)).otherwise(split)
 
 
-def contains_any(c: Column, words: Sequence[str]) -> Column:
+def contains_any(c: Column, words: Sequence[str], lowered: bool = False) -> Column:
     """Whether any non-blank word occurs, in any case. Constant words become one folded chain of tests."""
-    low = F.lower(c)
+    low = c if lowered else F.lower(c)
     found = [F.contains(low, F.lit(w.lower())) for w in words if w.strip()]
     out = F.lit(False)
     for f in found:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.chunking import chunk_texts, normalize_document_udf
-from ..functions.text import first_filled, first_nonzero, or_default, sanitize_id
+from ..functions.text import first_filled, first_nonzero, or_default, sanitize_id, strip
 from ..plans.session import ship
 
 
@@ -87,7 +87,6 @@ def metadata(columns: list[str]) -> dict[str, Column]:
 
 def embedding_text(text: Column) -> Column:
     """A header of metadata lines, without those that end in a colon, a blank line, and the text."""
-    strip = lambda c: F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
     said = [
         F.concat(F.lit("Title: "), F.col("title")),
         F.concat(F.lit("Coin: "), F.col("coin"), F.lit("; Chain: "), F.col("chain"), F.lit("; Domain: "), F.col("knowledge_domain"), F.lit("; Category: "), F.col("knowledge_category")),

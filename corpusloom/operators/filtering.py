@@ -12,8 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import first_filled, strip, text_of
+from ..functions.text import first_filled, let, strip, text_of
 from ..functions.urls import canonical_url
+from ..plans.tables import written
 
 LEAST_CHARS = 500
 SIZE_CAP = 80_000
@@ -82,7 +83,8 @@ def rank_columns() -> dict[str, Column]:
     """The lexicographic rank of a record, larger is better: priority, topic, size, earlier line."""
     path = F.lower(F.coalesce(first_filled(F.col("github_path"), F.col("url")), F.lit("")))
     title = F.lower(text_of(F.col("title")))
-    topic = reduce(lambda a, w: a + F.when(F.contains(path, F.lit(w)) | F.contains(title, F.lit(w)), 2).otherwise(0), VALUED, F.lit(0))
+    either = F.concat(path, F.lit("\n"), title)  # no word holds a newline
+    topic = let(either, lambda t: reduce(lambda a, w: a + F.when(F.contains(t, F.lit(w)), 2).otherwise(0), VALUED, F.lit(0)))
     topic = topic - F.when(path.rlike(r"/cn($|/)|_cn\.md$|_cn\b"), 3).otherwise(0) - F.when(F.contains(path, F.lit("testnet")), 2).otherwise(0)
     noise = F.contains(path, F.lit("security")) | F.contains(path, F.lit("install")) | F.contains(path, F.lit("privatekeynotes"))
     topic = topic - F.when(noise, 1).otherwise(0) - F.when(path.startswith("src/"), 2).otherwise(0)
@@ -133,34 +135,37 @@ def low_value_reason() -> Column:
 
 def fields_reason(fields: list[Column]) -> Column:
     text = F.lower(F.concat_ws(" ", *[text_of(c) for c in fields]))
-    why = F.lit(None).cast("string")
-    for name, pattern in reversed(LOW_VALUE):
-        why = F.when(text.rlike(pattern), f"low_value_{name}").otherwise(why)
-    return why
+
+    def judge(t: Column) -> Column:
+        why = F.lit(None).cast("string")
+        for name, pattern in reversed(LOW_VALUE):
+            why = F.when(t.rlike(pattern), f"low_value_{name}").otherwise(why)
+        return why
+
+    return let(text, judge)
 
 
 def apply_caps(rows: DataFrame, caps: list[SourceCap] | None = None) -> DataFrame:
     """Mark capped rows with ``cap_reasons`` (a row may hit several) and lower the priority of the rest.
 
     The caps fold in order: each ranks with the priorities that the earlier ones left, and rows that one
-    rejected still compete in the next. Only matched rows are ranked.
+    rejected still compete in the next. The kept of a cap are a distributed top-k, at most ``keep`` rows,
+    which are broadcast back; no window gathers a large source in one task.
     """
-    rows = rows.withColumns({"cap_reasons": F.array().cast("array<string>"), "source_priority_original": F.lit(None).cast("string"), "source_limit_group": F.lit(None).cast("string"), "source_limit_max_keep": F.lit(None).cast("long"), "filter_priority_note": F.lit(None).cast("string")})
+    none = F.lit(None).cast("string")
+    rows = rows.withColumns({"cap_reasons": F.array().cast("array<string>"), "source_priority_original": none, "source_limit_group": none, "source_limit_max_keep": F.lit(None).cast("long"), "filter_priority_note": none})
     for cap in caps or source_caps():
-        matched = rows.withColumn("_hit", F.coalesce(cap.test, F.lit(False)))
-        rank = F.row_number().over(Window.partitionBy("_hit").orderBy(*_best_first()))
-        hits = matched.where("_hit").withColumn("_rank", rank)
-        over = F.col("_rank") > cap.keep
-        hits = hits.withColumns({
-            "cap_reasons": F.when(over, F.array_append("cap_reasons", F.lit(f"source_limit_exceeded_{cap.name}"))).otherwise(F.col("cap_reasons")),
-            "source_priority_original": F.when(over, F.col("source_priority_original")).otherwise(F.col("source_priority")),
-            "source_limit_group": F.when(over, F.col("source_limit_group")).otherwise(F.lit(cap.name)),
-            "source_limit_max_keep": F.when(over, F.col("source_limit_max_keep")).otherwise(F.lit(cap.keep).cast("long")),
-            "filter_priority_note": F.when(over, F.col("filter_priority_note")).otherwise(F.lit(f"Downgraded by large-source rule: {cap.name}")),
-            "source_priority": F.when(over, F.col("source_priority")).otherwise(F.lit(cap.priority)),
-            "r_priority": F.when(over, F.col("r_priority")).otherwise(F.lit({"A": 3, "B": 2, "C": 1}.get(cap.priority, 0))),
-        })
-        rows = matched.where("not _hit").drop("_hit").unionByName(hits.drop("_hit", "_rank"))
+        rows = rows.withColumn("_hit", F.coalesce(cap.test, F.lit(False)))
+        best = rows.where("_hit").orderBy(*_best_first()).limit(cap.keep).select("ord", F.lit(True).alias("_stays"))
+        rows = rows.join(F.broadcast(best), "ord", "left").withColumns({"_over": F.col("_hit") & F.col("_stays").isNull(), "_stays": F.coalesce("_stays", F.lit(False))})
+        lowered = F.lit({"A": 3, "B": 2, "C": 1}.get(cap.priority, 0))
+        new = {
+            "source_priority_original": F.col("source_priority"), "source_limit_group": F.lit(cap.name), "source_limit_max_keep": F.lit(cap.keep).cast("long"),
+            "filter_priority_note": F.lit(f"Downgraded by large-source rule: {cap.name}"), "source_priority": F.lit(cap.priority), "r_priority": lowered,
+        }
+        changed = {c: F.when(F.col("_stays"), v).otherwise(F.col(c)) for c, v in new.items()}
+        changed["cap_reasons"] = F.when(F.col("_over"), F.array_append("cap_reasons", F.lit(f"source_limit_exceeded_{cap.name}"))).otherwise(F.col("cap_reasons"))
+        rows = rows.withColumns(changed).drop("_hit", "_stays", "_over")
     return rows
 
 
@@ -174,7 +179,7 @@ def decide(records: DataFrame) -> DataFrame:
     """
     raw = records if "raw_url" in records.columns else records.withColumn("raw_url", F.lit(None).cast("string"))
     ready = with_effective(raw).withColumns({"hard": hard_reason(raw.columns), "low_reason": low_value_reason(), **rank_columns()})
-    narrow = ready.select("hard", *NARROW)
+    narrow = written(ready.select("hard", *NARROW), "filter-narrow")  # texts are read and matched once
     rejected = [narrow.where("hard is not null").select("ord", "doc_id", F.array("hard").alias("reasons"))]
     current = narrow.where("hard is null").drop("hard")
     for key, reason in (("effective_url", "duplicate_url"), ("effective_content_hash", "duplicate_content_hash")):
@@ -182,7 +187,7 @@ def decide(records: DataFrame) -> DataFrame:
         rejected.append(marked.where("not is_best").select("ord", "doc_id", F.array("reason").alias("reasons")))
         current = marked.where("is_best").drop("is_best", "kept_doc_id", "kept_url", "merged_ids", "loser_urls", "reason")
     rejected.append(current.where("low_reason is not null").select("ord", "doc_id", F.array("low_reason").alias("reasons")))
-    capped = apply_caps(current.where("low_reason is null").drop("low_reason"))
+    capped = written(apply_caps(written(current.where("low_reason is null").drop("low_reason"), "filter-deduped")), "filter-capped")
     rejected.append(capped.where(F.size("cap_reasons") > 0).select("ord", "doc_id", F.col("cap_reasons").alias("reasons")))
     kept = capped.where(F.size("cap_reasons") == 0)
     out = kept.withColumns({"filter_decision": F.lit("kept"), "reasons": F.lit(None).cast("array<string>")})
