@@ -154,8 +154,9 @@ def test_forward_backward_is_exact():
 def test_pipeline(spark, tmp_path):
     docs, labels = labelled(spark, 300, 5)
     rng = random.Random(6)
-    item = text(rng) + " " + text(rng)
-    extra = [(2000, text(rng) + " " + item + " " + text(rng), "en", "s1", 1), (2001, text(rng) * 3, "en", "s1", 1)]
+    item = " ".join(text(rng).split()[:18])
+    extra = [(2000 + 10 * k, " ".join(text(rng).split()[:40]) + " " + item + " and more.", "en", "s1", 1) for k in range(3)]
+    extra.insert(1, (2001, text(rng), "en", "s1", 1))
     extra += [(2002, extra[1][1], "en", "s2", 1)]
     docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
     for name, table in (("documents", docs), ("labels", labels), ("benchmark", spark.createDataFrame([(0, item)], "item_id long, text string"))):
@@ -177,7 +178,7 @@ def test_pipeline(spark, tmp_path):
     want = {i for i, _, _, kept in brute.near_duplicates(known, 5, 80) if kept} | {r["doc_id"] for r in second[0] if r["doc_id"] is None}
     assert sorted(map(str, (r["doc_id"] for r in second[1]))) == sorted(map(str, want))
     clean = [r for r in third[0] if decontaminate.normalise(item) not in decontaminate.normalise(r["text"])]
-    assert sorted(map(str, clean)) == sorted(map(str, third[1])) and len(clean) == len(third[0]) - 1
+    assert sorted(map(str, clean)) == sorted(map(str, third[1])) and len(third[0]) - 3 <= len(clean) < len(third[0])
     plan = {r["doc_id"]: r for r in mixing.mix_plan(spark.createDataFrame(fourth[0], docs.schema)).collect()}
     taken = sum(r["taken"] for r in plan.values())
     assert sum(len((r["text"] or "").split()) for r in fourth[1]) == taken
