@@ -15,7 +15,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 DROPPED = frozenset("script style noscript svg canvas form iframe header footer nav aside".split())
 #: An open element of the first kind is closed by the start of one of the second.
 IMPLIED = {"p": frozenset("p div ul ol li table section article h1 h2 h3 h4 h5 h6 pre blockquote form header footer nav aside main".split()), "li": frozenset(["li"]), "tr": frozenset(["tr"]), "td": frozenset("td th tr".split()), "th": frozenset("td th tr".split()), "option": frozenset(["option"])}
-ROOTS = ("main", "article", ("role", "main"), "div.document", "div.body", "div.content", "div.container", "div.markdown-body", "section.content", ("id", "content"), ("id", "__next"), ("id", "root"))
+ROOTS = ("main", "article", ("role", "main"), *(f"div.{c}" for c in "document body content container markdown-body".split()), "section.content", *(("id", x) for x in "content __next root".split()))
 _LINK = StructType().add("url", StringType()).add("anchor_text", StringType())
 RESULT = StructType().add("title", StringType()).add("content", StringType()).add("links", ArrayType(_LINK)).add("link_count", IntegerType())
 

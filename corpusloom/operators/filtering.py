@@ -27,9 +27,9 @@ LOW_VALUE = (
     ("release_notes_or_changelog", "changelog|release[-_ ]?(process|notes)"),
     ("test_or_benchmark", "(^|/)(qa|tests?)(/|$)|benchmark|fuzzing|testgen|test[-_]?data"),
     ("contrib", "(^|/)contrib(/|$)"),
-    ("seed_nodes", "chainparamsseeds|dnsseed|nodes_(test|main)|seed[-_ ]?nodes|(^|/)seeds(/|$)"),
+    ("seed_nodes", "(^|/)seeds(/|$)|chainparamsseeds|dnsseed|nodes_(test|main)|seed[-_ ]?nodes"),
     ("repo_meta", r"issue_template|(^|/)\.github/"),
-    ("build_or_localization", "(^|/)depends(/|$)|build[-_]|gitian|translation(_process|_strings|[_-])|travis[-_]?ci"),
+    ("build_or_localization", "build[-_]|(^|/)depends(/|$)|gitian|translation(_process|_strings|[_-])|travis[-_]?ci"),
 )
 
 
