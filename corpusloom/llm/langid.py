@@ -57,6 +57,16 @@ def word_features(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple
     return word[order], (K.mix(key[order]) >> np.uint64(47)).astype(np.int64)
 
 
+def sliced_features(data, start, end, step: int = 1 << 15):
+    """Feature buckets of words and each word's offset in them, some words at a time."""
+    keys, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for s in range(0, len(start), step):
+        word, key = word_features(data, start[s : s + step], end[s : s + step])
+        keys.append(key.astype(np.int32))
+        counts.append(np.bincount(word, minlength=min(step, len(start) - s)))
+    return np.concatenate(keys), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+
+
 def chains(data, start, end, docs, offsets) -> np.ndarray:
     """Start of each chain in the list of words: a new document, a new line, or CHAIN words."""
     n = len(start)
@@ -161,12 +171,14 @@ def fit_tagger(texts, languages: list[str], steps: int = 240, batch_words: int =
     start, end, docs = K.words(data, offsets)
     if not len(start):
         return None
-    label = np.repeat(np.searchsorted(names, languages), np.diff(docs))
+    label = np.repeat(np.searchsorted(names, languages).astype(np.int16), np.diff(docs))
     heads = chains(data, start, end, docs, offsets)
     length = np.diff(np.append(heads, len(start)))
     _, first, uid = np.unique(K.word_hashes(_LOWER[data], start, end), return_index=True, return_inverse=True)
-    word, key = word_features(data, start[first], end[first])
-    at = np.searchsorted(word, np.arange(len(first) + 1))
+    key, at = sliced_features(data, start[first], end[first])
+    uid = uid.astype(np.int32)
+    del data, start, end, first
+    K.tame_memory()
     rng = np.random.default_rng(seed)
     w = np.zeros((BUCKETS, m), np.float32)
     square = np.full(BUCKETS, 1e-2, np.float32)
@@ -184,7 +196,7 @@ def fit_tagger(texts, languages: list[str], steps: int = 240, batch_words: int =
         parts_len = np.stack([one, two], 1).reshape(-1)
         row = K.ranges(parts_start, parts_len)
         chain = np.concatenate([[0], np.cumsum(one + two)])[:-1]
-        y = label[row]
+        y = label[row].astype(np.int64)
         ids, inverse = np.unique(uid[row], return_inverse=True)
         many = at[ids + 1] - at[ids]
         feats = key[K.ranges(at[ids], many)]
@@ -209,7 +221,7 @@ def fit_tagger(texts, languages: list[str], steps: int = 240, batch_words: int =
     return Tagger(names, w, trans.astype(np.float32), init.astype(np.float32))
 
 
-def train_tagger(docs: DataFrame, per_language: int = 400, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang") -> Tagger | None:
+def train_tagger(docs: DataFrame, per_language: int = 300, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang") -> Tagger | None:
     ship(docs.sparkSession)
     named = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"), F.col(language_column).cast("string").alias("lang"))
     named = named.where("id is not null and text is not null and lang is not null").where(~held_out(3, 1, "id"))
