@@ -118,7 +118,7 @@ def first_of(rows: DataFrame, key: str, *order: str) -> DataFrame:
 
 
 def last_of(rows: DataFrame, key: str, order: str = "ord") -> DataFrame:
-    """Upsert: the last value of each key, at the first value's place."""
-    whole = Window.partitionBy(key)
-    rank = F.row_number().over(whole.orderBy(F.desc(order)))
-    return rows.withColumns({"_rank": rank, "first_ord": F.min(order).over(whole)}).where("_rank = 1").drop("_rank")
+    """Upsert: the last value of each key, at the first value's place. An aggregate, combined before the shuffle."""
+    others = [c for c in rows.columns if c != key]
+    last = F.max_by(F.struct(*others), F.col(order)).alias("_last")
+    return rows.groupBy(key).agg(last, F.min(order).alias("first_ord")).select(key, "_last.*", "first_ord")

@@ -98,25 +98,31 @@ def _best_first() -> list[Column]:
 
 
 def keep_best(rows: DataFrame, key: str, reason: str) -> DataFrame:
-    """Mark all but the best row of each key: ``reason``, ``kept_doc_id``, ``kept_url``, and the group's lists.
+    """Mark all but the best row of each key: ``is_best``, ``reason``, ``kept_doc_id``, ``kept_url``, ``<key>_removed_count``.
 
-    One shuffle of the columns given; pass narrow rows. ``merged_ids`` are those after the first in input
-    order, ``loser_urls`` those after the best in rank order; both only where the group has several rows.
+    The best is an aggregate, combined before the shuffle, so a key that a third of all rows share costs a
+    row a task. It is joined back on the key; the sides are narrow and the planner splits a skewed key.
     """
-    ranked = Window.partitionBy(key).orderBy(*_best_first())
-    whole = Window.partitionBy(key)
-    best = F.row_number().over(ranked) == 1
-    by_order = F.array_sort(F.collect_list(F.struct("ord", "doc_id")).over(whole))
-    by_rank = F.array_sort(F.collect_list(F.struct(-F.col("r_priority"), -F.col("r_topic"), -F.col("r_size"), -F.col("r_line"), F.col("ord"), F.col("url").alias("u"))).over(whole))
-    n = F.count(F.lit(1)).over(whole)
-    return rows.withColumns({
-        f"{key}_removed_count": n - 1,
-        "is_best": best,
-        "kept_doc_id": F.first("doc_id").over(ranked),
-        "kept_url": F.first("url").over(ranked),
-        "merged_ids": F.filter(F.transform(F.slice(by_order, F.lit(2), n.cast("int")), lambda x: x["doc_id"]), lambda x: x.isNotNull() & (x != "")),
-        "loser_urls": F.filter(F.transform(F.slice(by_rank, F.lit(2), n.cast("int")), lambda x: x["u"]), lambda x: x.isNotNull() & (x != "")),
-    }).withColumn("reason", F.when(~F.col("is_best"), reason))
+    rank = F.struct(*[(-F.col(c)).alias(c) for c in ("r_priority", "r_topic", "r_size", "r_line")], "ord", "doc_id", "url")
+    best = rows.groupBy(key).agg(F.min(rank).alias("_best"), (F.count(F.lit(1)) - 1).alias(f"{key}_removed_count"))
+    marked = rows.join(best, key).withColumns({"is_best": F.col("ord") == F.col("_best.ord"), "kept_doc_id": F.col("_best.doc_id"), "kept_url": F.col("_best.url")})
+    return marked.withColumn("reason", F.when(~F.col("is_best"), reason)).drop("_best")
+
+
+def group_lists(rows: DataFrame, key: str) -> DataFrame:
+    """``key, doc_id, merged_ids, loser_urls, n_removed`` for keys of several rows.
+
+    ``merged_ids`` are those after the first in input order, ``loser_urls`` those after the best in rank
+    order; one list a group, as the kept record carries it.
+    """
+    better = [(-F.col(c)).alias(c) for c in ("r_priority", "r_topic", "r_size", "r_line")]
+    grouped = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array_sort(F.collect_list(F.struct("ord", "doc_id"))).alias("by_order"),
+        F.array_sort(F.collect_list(F.struct(*better, "ord", "url", "doc_id"))).alias("by_rank"),
+    ).where("n > 1")
+    rest = lambda c, field: F.filter(F.transform(F.slice(c, F.lit(2), F.col("n").cast("int")), lambda x: x[field]), lambda x: x.isNotNull() & (x != ""))
+    return grouped.select(key, F.col("by_rank")[0]["doc_id"].alias("doc_id"), rest("by_order", "doc_id").alias("merged_ids"), rest("by_rank", "url").alias("loser_urls"), (F.col("n") - 1).alias("n_removed"))
 
 
 def merged_tags(rows: DataFrame, key: str) -> DataFrame:
@@ -185,7 +191,7 @@ def decide(records: DataFrame) -> DataFrame:
     for key, reason in (("effective_url", "duplicate_url"), ("effective_content_hash", "duplicate_content_hash")):
         marked = keep_best(current, key, reason)
         rejected.append(marked.where("not is_best").select("ord", "doc_id", F.array("reason").alias("reasons")))
-        current = marked.where("is_best").drop("is_best", "kept_doc_id", "kept_url", "merged_ids", "loser_urls", "reason")
+        current = marked.where("is_best").drop("is_best", "kept_doc_id", "kept_url", "reason")
     rejected.append(current.where("low_reason is not null").select("ord", "doc_id", F.array("low_reason").alias("reasons")))
     capped = written(apply_caps(written(current.where("low_reason is null").drop("low_reason"), "filter-deduped")), "filter-capped")
     rejected.append(capped.where(F.size("cap_reasons") > 0).select("ord", "doc_id", F.col("cap_reasons").alias("reasons")))
@@ -213,7 +219,8 @@ def number_rows(rows: DataFrame, keys: list[Column], name: str) -> DataFrame:
     # ranges of the leading key alone may be skewed, so all keys cut the ranges
     cut = named.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
     local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    placed = cut.withColumn("_local", local)
+    # written, as the ranges of a second run might be cut elsewhere
+    placed = written(cut.withColumn("_local", local), "numbered")
     counts = placed.groupBy("_part").agg(F.max("_local").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("_part", before.alias("_before"))

@@ -40,8 +40,8 @@ def content_dedup_keep_best(spark, d):
 
 def dedup_backrefs(spark, d):
     narrow = _ready(spark, d, "records_recrawl").select("ord", "doc_id", "url", "effective_url", "r_priority", "r_topic", "r_size", "r_line")
-    best = filtering.keep_best(narrow, "effective_url", "duplicate_url").where("is_best")
-    return best.where("effective_url_removed_count > 0").select("doc_id", F.array_join("merged_ids", ",").alias("merged_doc_ids"), F.array_join("loser_urls", ",").alias("duplicate_urls"), F.col("effective_url_removed_count").alias("n_removed"))
+    lists = filtering.group_lists(narrow, "effective_url")
+    return lists.select("doc_id", F.array_join("merged_ids", ",").alias("merged_doc_ids"), F.array_join("loser_urls", ",").alias("duplicate_urls"), "n_removed")
 
 
 def topic_tag_merge(spark, d):
