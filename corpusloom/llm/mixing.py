@@ -104,7 +104,7 @@ def _decide(docs: DataFrame, weights, max_epochs, seed, id_column, text_column,
     facts, _ = _facts(docs, weights, max_epochs, seed, id_column, text_column, source_column)
     text = F.col(text_column).cast("string")
     salted = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("k", "_k")
-    salted = salted.select("_k", "_salt", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("whole").alias("_whole"), F.col("stop").alias("_stop"), F.col("filler").alias("_filler"))
+    salted = materialise(salted.select("_k", "_salt", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("whole").alias("_whole"), F.col("stop").alias("_stop"), F.col("filler").alias("_filler")), "mix-facts")  # so that the planner knows its size: small, it is broadcast
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), source_key(F.col(source_column)).alias("_k"), word_count(text).alias("_size"), order_key(seed, id_column, text).alias("_h"))
     keyed = keyed.withColumn("_salt", F.pmod(F.crc32("_h"), F.lit(SALTS)).cast("int"))
     joined = keyed.join(salted, ["_k", "_salt"])
