@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..plans.session import ship
 from . import kernels as K
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 SCHEMA = "chunk long, payload binary"
 
 

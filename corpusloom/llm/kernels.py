@@ -134,8 +134,8 @@ def tame_memory() -> None:
     """Have the C allocator keep a small heap: very large arrays are mapped, and what is free goes back."""
     try:
         libc = ctypes.CDLL("libc.so.6")
-        libc.mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD
-        libc.mallopt(-1, 64 << 20)  # M_TRIM_THRESHOLD
+        libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 16 << 20)  # M_TRIM_THRESHOLD
         libc.malloc_trim(0)
     except (OSError, AttributeError):  # another C library
         pass

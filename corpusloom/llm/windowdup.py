@@ -94,7 +94,7 @@ def spans_of(scheme: Scheme, units: Units) -> Spans:
     return Spans(cut, count, key[anchor[cut]] >> U64(64 - KEY_BITS), np.searchsorted(units.offsets, cut, "right") - 1)
 
 
-SLICE_UNITS = 1 << 18
+SLICE_UNITS = 1 << 17
 
 
 def _blocks(scheme: Scheme, data: np.ndarray, offsets: np.ndarray):
@@ -160,6 +160,7 @@ def _send_keys(scheme: Scheme, buckets: int):
                     rows.append((b, chunk, np.packbits(multi[s:e]).tobytes() + six.tobytes()))
                 if rows:
                     yield _rows(rows)
+            K.tame_memory()
 
     return run
 
@@ -250,6 +251,8 @@ def _send_spans(scheme: Scheme, buckets: int):
                     rows.append((b, chunk, blob))
                 if rows:
                     yield _rows(rows)
+                del r, data
+                K.tame_memory()
 
     return run
 
@@ -280,7 +283,7 @@ def _answer_spans(scheme: Scheme):
     return run
 
 
-def _slices(heads: np.ndarray, weight: np.ndarray, limit: int = 1 << 19):
+def _slices(heads: np.ndarray, weight: np.ndarray, limit: int = 1 << 18):
     """Ranges between heads (starts of groups, and the end) of about ``limit`` weight; a group stays whole."""
     i = 0
     while i < len(heads) - 1:
@@ -373,10 +376,11 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, finish: Callable, schema: st
     """``finish(ids, units, covered)`` makes the result rows of a block of documents."""
     packed = C.pack(docs, chunk_partitions, id_column, text_column)
     keys = packed.mapInArrow(_send_keys(scheme, buckets), ROWS)
-    known = C.answers(keys.groupBy("bucket").applyInArrow(_answer_keys, REPLY))
+    placed = lambda rows: rows.repartitionById(buckets, F.col("bucket")).groupBy("bucket")  # noqa: E731 - one bucket a task
+    known = C.answers(placed(keys).applyInArrow(_answer_keys, REPLY))
     asked = packed.join(known.hint("shuffle_hash"), "chunk", "left").select("chunk", "payload", "replies")
     spans = asked.mapInArrow(_send_spans(scheme, buckets), ROWS)
-    judged = C.answers(spans.groupBy("bucket").applyInArrow(_answer_spans(scheme), REPLY)).withColumnRenamed("replies", "verdicts")
+    judged = C.answers(placed(spans).applyInArrow(_answer_spans(scheme), REPLY)).withColumnRenamed("replies", "verdicts")
     whole = asked.join(judged.hint("shuffle_hash"), "chunk", "left").select("payload", "replies", "verdicts")
 
     def run(batches):
@@ -385,5 +389,6 @@ def remove_repeats(docs: DataFrame, scheme: Scheme, finish: Callable, schema: st
             for payload, replies, verdicts in zip(*batch.columns, strict=True):
                 for ids, units, gone in covered(scheme, buckets, payload.as_py(), replies.as_py() or [], verdicts.as_py() or []):
                     yield finish(ids, units, gone)
+                K.tame_memory()
 
     return whole.mapInArrow(run, schema)
