@@ -25,7 +25,7 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, 5 % of edits allowed."""
+    """Documents that hold no benchmark item, a tenth of its characters may be edited."""
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 

@@ -146,7 +146,7 @@ def item_blocks(benchmark: DataFrame, block_bytes: int, error_rate: float, min_p
     return found
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05, min_piece: int = 12, block_bytes: int = 8 << 20, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.1, min_piece: int = 12, block_bytes: int = 8 << 20, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id") -> DataFrame:
     """Per document: ``doc_id, n_items, item_ids`` (sorted) ``, contaminated``."""
     ship(docs.sparkSession)
     out = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"), F.lit(0).cast("long").alias("n_items"), F.array().cast("array<long>").alias("item_ids"))
@@ -165,7 +165,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05
     return out.select("doc_id", "n_items", "item_ids", (F.col("n_items") > 0).alias("contaminated"))
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05, min_piece: int = 12, block_bytes: int = 8 << 20, text_column: str = "text", item_column: str = "item_id") -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.1, min_piece: int = 12, block_bytes: int = 8 << 20, text_column: str = "text", item_column: str = "item_id") -> DataFrame:
     """The rows of docs that hold no item: a filter in the scan's own stage, no shuffle."""
     ship(docs.sparkSession)
     at, out = docs.columns.index(text_column), docs

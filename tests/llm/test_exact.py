@@ -139,7 +139,7 @@ def test_decontamination(spark):
     items = [(k, " ".join(rng.choices(words, k=30))) for k in range(8)] + [(90, None), (91, " "), (None, "only once seen phrase of no id"), (92, "tiny")]
     rows = [(0, None), (1, ""), (2, " ".join(rng.choices(words, k=4000)))]
     for k, item in items[:8]:
-        for edits in (0, 1, len(item) // 40, len(item) // 20 + 12):
+        for edits in (0, 1, len(item) // 40, len(item) // 13, len(item) // 10 + 20):
             broken = list(item)
             for _ in range(edits):
                 broken[rng.randrange(len(broken))] = rng.choice("xyz")
@@ -149,7 +149,7 @@ def test_decontamination(spark):
     expected = {}
     for i, text in rows:
         text = decontaminate.normalise(text)
-        parsed = decontaminate.Items.of(items, 0.05, 12)
+        parsed = decontaminate.Items.of(items, 0.1, 12)
         hit = [x for x, t, e in zip(parsed.ids, parsed.texts, parsed.errors, strict=True) if brute.edit_distance_within(t, text) <= e]
         expected[i] = (len(hit), sorted(x for x in hit if x is not None))
     for block in (8 << 20, 2000):
