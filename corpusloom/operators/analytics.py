@@ -36,7 +36,7 @@ def length_stats(rows: DataFrame, length: str) -> DataFrame:
 
     Lengths are counted by value first, so the ordered step sees distinct values, not rows.
     """
-    counted = rows.groupBy(F.col(length).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    counted = rows.groupBy(F.col(length).cast("long").alias("v")).agg(F.count(F.lit(1)).alias("c"))
     running = counted.withColumn("upto", F.sum("c").over(Window.orderBy("v")))
     total = F.sum("c").over(Window.partitionBy())
     whole = running.withColumn("total", total)
@@ -81,3 +81,14 @@ def crawl_summary(records: DataFrame) -> DataFrame:
     fields = ["status", "crawl_type", "source_priority", "knowledge_domain", "level_1"]
     spread = F.explode(F.array(*[F.struct(F.lit(c).alias("section"), F.coalesce(F.col(c).cast("string"), F.lit("None")).alias("key")) for c in fields]))
     return flat.unionByName(records.select(spread.alias("p")).groupBy("p.section", "p.key").agg(F.count(F.lit(1)).alias("n")))
+
+
+def report(metrics: DataFrame, title: str) -> str:
+    """A plain-text report of a ``section, key, n`` table, whose size is that of its sections' vocabularies."""
+    lines, last = [title], None
+    for row in metrics.orderBy("section", F.desc("n"), "key").toLocalIterator():
+        if row["section"] != last:
+            lines += ["", f"{row['section']}:"]
+            last = row["section"]
+        lines.append(f"- {row['key']}: {row['n']}")
+    return "\n".join(lines) + "\n"

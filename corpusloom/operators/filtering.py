@@ -186,17 +186,18 @@ def decide(records: DataFrame) -> DataFrame:
     raw = records if "raw_url" in records.columns else records.withColumn("raw_url", F.lit(None).cast("string"))
     ready = with_effective(raw).withColumns({"hard": hard_reason(raw.columns), "low_reason": low_value_reason(), **rank_columns()})
     narrow = written(ready.select("hard", *NARROW), "filter-narrow")  # texts are read and matched once
-    rejected = [narrow.where("hard is not null").select("ord", "doc_id", F.array("hard").alias("reasons"))]
+    rejected = [narrow.where("hard is not null").select("ord", "doc_id", "effective_char_count", F.array("hard").alias("reasons"))]
     current = narrow.where("hard is null").drop("hard")
     for key, reason in (("effective_url", "duplicate_url"), ("effective_content_hash", "duplicate_content_hash")):
         marked = keep_best(current, key, reason)
-        rejected.append(marked.where("not is_best").select("ord", "doc_id", F.array("reason").alias("reasons")))
+        rejected.append(marked.where("not is_best").select("ord", "doc_id", "kept_doc_id", "kept_url", F.array("reason").alias("reasons")))
         current = marked.where("is_best").drop("is_best", "kept_doc_id", "kept_url", "reason")
     rejected.append(current.where("low_reason is not null").select("ord", "doc_id", F.array("low_reason").alias("reasons")))
     capped = written(apply_caps(written(current.where("low_reason is null").drop("low_reason"), "filter-deduped")), "filter-capped")
     rejected.append(capped.where(F.size("cap_reasons") > 0).select("ord", "doc_id", F.col("cap_reasons").alias("reasons")))
     kept = capped.where(F.size("cap_reasons") == 0)
-    out = kept.withColumns({"filter_decision": F.lit("kept"), "reasons": F.lit(None).cast("array<string>")})
+    none = F.lit(None).cast("string")
+    out = kept.withColumns({"filter_decision": F.lit("kept"), "reasons": F.lit(None).cast("array<string>"), "kept_doc_id": none, "kept_url": none})
     for r in rejected:
         out = out.unionByName(r.withColumn("filter_decision", F.lit("removed")), allowMissingColumns=True)
     return out
@@ -229,3 +230,30 @@ def number_rows(rows: DataFrame, keys: list[Column], name: str) -> DataFrame:
 
 def filtered_corpus(records: DataFrame) -> DataFrame:
     return order_kept(decide(records).where("filter_decision = 'kept'"))
+
+
+def group_tags(records: DataFrame) -> DataFrame:
+    """``ord, merged_tags`` of records that absorbed others, by URL and then by content."""
+    ready = with_effective(records).where(hard_reason(records.columns).isNull()).withColumns(rank_columns())
+    fields = ["ord", "doc_id", "url", "effective_url", "effective_content_hash", "topic_tags", "level_1", "level_2", "r_priority", "r_topic", "r_size", "r_line"]
+    current = written(ready.select(*fields), "filter-tags")
+    for key in ("effective_url", "effective_content_hash"):
+        merged = merged_tags(current, key).withColumnRenamed("topic_tags", "merged")
+        best = keep_best(current, key, "").where("is_best").select(*fields)
+        current = best.join(merged, key, "left").withColumn("topic_tags", F.coalesce("merged", "topic_tags")).withColumn("absorbed", F.col("merged").isNotNull()).drop("merged")
+    return current.select("ord", F.col("topic_tags").alias("merged_tags"))
+
+
+KEPT = ["filter_decision", "effective_url", "effective_content_hash", "source_priority_original", "source_limit_group", "source_limit_max_keep", "filter_priority_note"]
+
+
+def filter_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``kept, removed``: whole records with what the filter adds. Decisions are made on narrow rows and joined back."""
+    decided = written(decide(records), "filter-decided")
+    added = decided.where("filter_decision = 'kept'")
+    counts = {"effective_url_removed_count": "dedup_url_removed_count", "effective_content_hash_removed_count": "dedup_content_hash_removed_count"}
+    numbered = order_kept(added).select("ord", "filter_run_order", F.col("source_priority").alias("_priority"), *KEPT, *[F.nullif(F.col(old), F.lit(0)).alias(new) for old, new in counts.items()])
+    kept = records.join(numbered, "ord").join(group_tags(records), "ord", "left")
+    kept = kept.withColumns({"source_priority": F.col("_priority"), "topic_tags": F.coalesce("merged_tags", "topic_tags")}).withColumn("topic_count", F.size("topic_tags")).drop("_priority", "merged_tags")
+    gone = decided.where("filter_decision = 'removed'").select("ord", "filter_decision", F.col("reasons").alias("filter_reasons"), "kept_doc_id", "kept_url", "effective_char_count")
+    return kept, records.join(gone, "ord")
