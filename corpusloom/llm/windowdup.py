@@ -90,8 +90,9 @@ def spans_of(scheme: Scheme, units: Units) -> Spans:
     cut = np.concatenate([[0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1]) if len(anchor) else np.zeros(0, np.int64)
     count = np.diff(np.append(cut, len(anchor)))
     live = anchor[cut] >= 0
+    # mixed anew: anchors may be minima of the same hash, whose small values would crowd the first buckets
     cut, count = cut[live], count[live]
-    return Spans(cut, count, key[anchor[cut]] >> U64(64 - KEY_BITS), np.searchsorted(units.offsets, cut, "right") - 1)
+    return Spans(cut, count, K.mix(key[anchor[cut]]) >> U64(64 - KEY_BITS), np.searchsorted(units.offsets, cut, "right") - 1)
 
 
 SLICE_UNITS = 1 << 17
