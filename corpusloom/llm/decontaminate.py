@@ -5,11 +5,15 @@ pieces, at least one piece then occurs unchanged. An Aho-Corasick automaton find
 in one pass over each whole text; every hit names a diagonal, and the text around it is verified with
 Myers' bit-parallel edit distance. Texts and items are compared in lower case with white space squeezed.
 
+Where the pieces are shorter than ``min_piece`` characters, they hit often. Of an item's disjoint blocks of
+four characters k edits spoil at most k, so the text around a hit is verified only if no more are missing.
+The budget k and the matches don't depend on ``min_piece``.
+
 The automaton is broadcast, so its size is checked: items are taken in blocks of at most
 ``block_bytes`` of text, each block in its own pass over the documents.
 
-Defined cases: null and blank items match nothing; an item too short for a piece of ``min_piece``
-characters per error gets fewer errors, down to 0; null and empty texts match nothing; repeated items
+Defined cases: null and blank items match nothing; an item so short that a tenth is less than one
+character gets no errors, and none may lose all its characters; null and empty texts match nothing; repeated items
 count under each id, and items with a null id mark a text without being listed; repeated rows are
 judged alike; empty tables give no matches; extra columns are kept.
 """
@@ -27,6 +31,9 @@ from pyspark.sql import functions as F
 from ..plans.session import ship
 
 
+BLOCK = 4
+
+
 def normalise(text: str | None) -> str:
     return " ".join(text.lower().split()) if text else ""
 
@@ -74,23 +81,26 @@ def pattern_masks(pattern: str) -> dict[str, int]:
 
 @dataclass(frozen=True)
 class Items:
-    """Normalised items and the errors that each may have."""
+    """Normalised items, the errors that each may have, and whether its pieces are short."""
 
     ids: tuple[int | None, ...]
     texts: tuple[str, ...]
     errors: tuple[int, ...]
+    short: tuple[bool, ...]
 
     @staticmethod
     def of(rows, error_rate: float, min_piece: int) -> Items:
         kept = [(i, t) for i, t in ((r[0], normalise(r[1])) for r in rows) if t]
-        errors = tuple(max(0, min(math.floor(error_rate * len(t)), len(t) // min_piece - 1)) for _, t in kept)
-        return Items(tuple(i for i, _ in kept), tuple(t for _, t in kept), errors)
+        errors = tuple(min(math.floor(error_rate * len(t)), len(t) - 1) for _, t in kept)
+        short = tuple(len(t) < min_piece * (e + 1) for (_, t), e in zip(kept, errors, strict=True))
+        return Items(tuple(i for i, _ in kept), tuple(t for _, t in kept), errors, short)
 
 
 class Matcher:
     def __init__(self, items: Items):
         self.items = items
         self.masks: dict[int, dict[str, int]] = {}
+        self.blocks: dict[int, list[str]] = {}
         found: dict[str, list[tuple[int, int]]] = {}
         for k, (text, errors) in enumerate(zip(items.texts, items.errors, strict=True)):
             for s, e in pieces(len(text), errors):
@@ -118,17 +128,30 @@ class Matcher:
             return True
         if not errors:
             return False
-        masks = self.masks.get(k) or self.masks.setdefault(k, pattern_masks(item))
         low = high = None
         for s in sorted(set(starts)):  # windows that overlap are read once
             a, b = max(0, s - errors), s + n + errors
             if high is not None and a <= high:
                 high = b
                 continue
-            if high is not None and myers(item, text[low:high], errors, masks) <= errors:
+            if high is not None and self._near(k, text[low:high]):
                 return True
             low, high = a, b
-        return myers(item, text[low:high], errors, masks) <= errors
+        return self._near(k, text[low:high])
+
+    def _near(self, k: int, window: str) -> bool:
+        """Whether the window holds item k within its errors."""
+        item, errors = self.items.texts[k], self.items.errors[k]
+        if self.items.short[k]:
+            blocks = self.blocks.get(k) or self.blocks.setdefault(k, [item[i : i + BLOCK] for i in range(0, len(item) - BLOCK + 1, BLOCK)])
+            missing = 0
+            for block in blocks:
+                if block not in window:
+                    missing += 1
+                    if missing > errors:
+                        return False
+        masks = self.masks.get(k) or self.masks.setdefault(k, pattern_masks(item))
+        return myers(item, window, errors, masks) <= errors
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int, error_rate: float, min_piece: int, id_column: str, text_column: str) -> list[Items]:

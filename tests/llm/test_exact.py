@@ -160,6 +160,23 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontamination_grants_the_whole_error_rate():
+    """The budget is a tenth of the characters at any length, whatever the pieces' length."""
+    rng = random.Random(18)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    for n in (9, 10, 19, 20, 23, 40, 95, 167, 233, 305):
+        item = " ".join(rng.choices(words, k=n))[:n].strip().ljust(n, "j")
+        matcher = decontaminate.Matcher(decontaminate.Items.of([(1, item)], 0.1, 12))
+        for _ in range(20):
+            for edits in (n // 10, n // 10 + 1):
+                broken = list(item)
+                for at in sorted(rng.sample(range(n), edits), reverse=True):  # replaced, lost or put in before
+                    broken[at : at + 1] = rng.choice((["z"], [], ["z", broken[at]]))
+                text = " ".join(["xx", *rng.choices(words, k=10), "".join(broken), *rng.choices(words, k=10)])
+                text = decontaminate.normalise(text)
+                assert bool(matcher.matches(text)) == (brute.edit_distance_within(item, text) <= n // 10)
+
+
 def same_as_sql(docs, out, sql):
     with duckdb.connect() as db:
         db.register("documents", docs.select("doc_id", "text", "source").toArrow())
