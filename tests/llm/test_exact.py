@@ -8,6 +8,7 @@ import pytest
 
 from corpusloom.llm import ann, decontaminate, kernels, minhash, mixing, sharding, substring_dedup, suffix_dedup, suffixes
 from corpusloom.llm import queries as Q
+from corpusloom.llm.components import connected_components
 
 from . import brute
 
@@ -116,6 +117,15 @@ def test_chain_of_links_and_blocks(spark):
     assert sorted(map(tuple, found)) == sorted(brute.near_duplicates(rows, 2, 80))
 
 
+def test_components_of_long_chains(spark):
+    """Chains of some hundreds settle in whatever order their ids come, one with the smallest id at its far end too."""
+    chains = [list(range(1, 200)) + [0], list(range(1000, 1400)), list(range(2000, 2100))]
+    random.Random(19).shuffle(chains[1])
+    edges = [(a, b) for c in chains for a, b in zip(c[:-1], c[1:], strict=True)]
+    found = connected_components(spark.createDataFrame(edges, "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == sorted((i, min(c)) for c in chains for i in c)
+
+
 def test_keep_one(spark):
     rows = [(7, "a b c d e f g"), (8, "a b c d e f g"), (9, "z y x w v u"), (9, "z y x w v u"), (None, "q"), (10, None)]
     docs = frame(spark, rows)
