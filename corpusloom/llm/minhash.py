@@ -35,7 +35,7 @@ from .components import connected_components
 U64 = np.uint64
 BITS = 50  # of a shingle's hash; the other 14 bits of a sort key number the document within a slice
 BANDS, ROWS, SKETCH_BITS = 28, 4, 256
-LEAST_ESTIMATE = 0.25  # below the similarity threshold: 5 standard deviations of the estimate at 0.8
+LEAST_ESTIMATE = 0.3  # below the similarity threshold: drops a pair at 0.8 with probability 1e-7
 _rng = np.random.default_rng(5)
 _A = (_rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.int64) * 2 + 1).astype(np.uint32)
 _B = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.int64).astype(np.uint32)

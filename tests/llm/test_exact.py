@@ -1,5 +1,6 @@
 """Deduplication, decontamination, mixing, sharding and search against brute force, with odd inputs."""
 
+import math
 import random
 
 import duckdb
@@ -126,6 +127,22 @@ def test_components_of_long_chains(spark):
     assert sorted(map(tuple, found.collect())) == sorted((i, min(c)) for c in chains for i in c)
 
 
+def test_sketch_drops_fewer_pairs_than_the_bands_miss():
+    """Exact chance that two sketches of similarity 0.8 differ in more bits than the bound allows."""
+    samples, bits = minhash.BANDS * minhash.ROWS, minhash.SKETCH_BITS
+    most = np.flatnonzero(minhash.estimate(np.arange(bits // 2)) >= 0.8 - minhash.LEAST_ESTIMATE)[-1]
+    odd, i, dropped = np.zeros(bits + 1), np.arange(bits + 1), 0.0
+    odd[0] = 1
+    for d in range(samples + 1):  # d samples differ: each flips a random bit in either sketch
+        dropped += math.comb(samples, d) * 0.2**d * 0.8 ** (samples - d) * odd[most + 1 :].sum()
+        for _ in range(2):
+            flipped = np.zeros(bits + 1)
+            flipped[1:] += odd[:-1] * (bits - i[:-1]) / bits
+            flipped[:-1] += odd[1:] * i[1:] / bits
+            odd = flipped
+    assert dropped < (1 - 0.8**minhash.ROWS) ** minhash.BANDS
+
+
 def test_keep_one(spark):
     rows = [(7, "a b c d e f g"), (8, "a b c d e f g"), (9, "z y x w v u"), (9, "z y x w v u"), (None, "q"), (10, None)]
     docs = frame(spark, rows)
