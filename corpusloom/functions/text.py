@@ -49,7 +49,9 @@ def normalize_lines(c: Column) -> Column:
     """Stripped, non-blank lines; of equal neighbours one stays."""
     lines = F.split(F.regexp_replace(_newlines(c), r"[ \t\x0B\f]+", " "), "\n")
     filled = F.filter(F.transform(lines, strip), lambda x: x != "")
-    return F.array_join(F.filter(filled, lambda x, i: (i == 0) | (x != F.get(filled, i - 1))), "\n")
+    # bound once: a name inside the lambda would be computed again for every line
+    kept = let(filled, lambda lines: F.filter(lines, lambda x, i: (i == 0) | (x != F.get(lines, i - 1))))
+    return F.array_join(kept, "\n")
 
 
 def normalize_export(c: Column) -> Column:
@@ -83,6 +85,12 @@ def split_list(c: Column) -> Column:
     return _pieces(F.split(text_of(c), "[,;|，；、]+"))
 
 
+def as_list(c: Column) -> Column:
+    """A list field read as text: a JSON list as it is, else split as :func:`split_list` does."""
+    loaded = F.from_json(strip(text_of(c)), "array<string>", {"mode": "PERMISSIVE"})
+    return F.when(strip(text_of(c)).startswith("[") & loaded.isNotNull(), _pieces(loaded)).otherwise(split_list(c))
+
+
 def parse_list(c: Column) -> Column:
     """A list kept as text: JSON if bracketed, else split on the first separator present of | ； ; ， and comma."""
     s = strip(text_of(c))
@@ -93,6 +101,23 @@ def parse_list(c: Column) -> Column:
     return F.when(s == "", F.array().cast("array<string>")).when(s.startswith("[") & s.endswith("]") & loaded.isNotNull(), _pieces(loaded)).otherwise(split)
 
 
+def tag_list(c: Column) -> Column:
+    """Tags as a list: a JSON list as it is, another JSON value as one tag, else split at any of ; , and |."""
+    s = text_of(c)
+    loaded = F.from_json(strip(s), "array<string>", {"mode": "PERMISSIVE"})
+    scalar = strip(s).rlike(r'^("([^"\\]|\\.)*"|-?\d+(\.\d+)?([eE][+-]?\d+)?|true|false|null|\{.*\})$')
+    split = F.when(scalar, F.array(s)).otherwise(F.split(s, r"\s*[;,|]\s*"))
+    tags = F.when(strip(s).startswith("[") & loaded.isNotNull(), loaded).otherwise(split)
+    return F.when(strip(s) == "", F.array().cast("array<string>")).otherwise(_pieces(tags))
+
+
+def whole_number(c: Column) -> Column:
+    """A text as a whole number, also one with a fraction, which is cut; else null."""
+    s = strip(c.cast("string"))
+    cut = F.when(s.rlike(r"^[+-]?\d+\.\d*([eE][+-]?\d+)?$"), s.try_cast("double").try_cast("bigint"))
+    return F.coalesce(s.try_cast("bigint"), cut)
+
+
 def contains_any(c: Column, words: Sequence[str], lowered: bool = False) -> Column:
     """Whether any non-blank word occurs, in any case. Constant words become one folded chain of tests."""
     low = c if lowered else F.lower(c)

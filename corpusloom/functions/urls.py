@@ -65,8 +65,16 @@ def normalize_url(url: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([normalize_reference(u, b) for u, b in zip(url, base, strict=True)], dtype=object)
 
 
-def admission(url: Column, deny_extensions: Sequence[str] = BLOCKED_EXTENSIONS, strict_deny: bool = True) -> Column:
-    """Why a crawl rejects a normalised URL, or null. With ``strict_deny`` an extension anywhere in the URL rejects, too."""
+def admission(url: Column, deny_extensions: Sequence[str] = BLOCKED_EXTENSIONS, strict_deny: bool = True, own_deny: Column | None = None) -> Column:
+    """Why a crawl rejects a normalised URL, or null. With ``strict_deny`` an extension anywhere in the URL rejects, too.
+
+    ``own_deny``, a list column, takes the place of the extensions in rows where it isn't empty.
+    """
+    if own_deny is not None:
+        ends = F.transform(own_deny, lambda e: F.lower(F.when(e.startswith("."), e).otherwise(F.concat(F.lit("."), e))))
+        ended, held = F.exists(ends, lambda e: F.lower(parts(url)["path"]).endswith(e)), F.exists(ends, lambda e: F.contains(F.lower(url), e))
+        own = F.when(url.isNull(), "invalid_url").when(ended, "blocked_extension").when(held & F.lit(strict_deny), "deny_url_pattern")
+        return F.when(F.coalesce(F.size(own_deny) > 0, F.lit(False)), own).otherwise(admission(url, deny_extensions, strict_deny))
     exts = [e.lower() if e.startswith(".") else f".{e.lower()}" for e in deny_extensions]
     path = F.lower(parts(url)["path"])
     blocked = F.lit(False)

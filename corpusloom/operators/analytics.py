@@ -61,15 +61,29 @@ def documents_by_chunks(chunks: DataFrame, limit: int = 30) -> DataFrame:
 
 
 def filter_stats(decided: DataFrame) -> DataFrame:
-    """``section, key, n`` of a decided table: removals by reason, kept and removed totals, kept by field."""
-    reasons = decided.select(F.explode("reasons").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).select(F.lit("removed_by_reason").alias("section"), "key", "n")
-    kept = decided.where("filter_decision = 'kept'")
-    spread = F.explode(F.array(*[F.struct(F.lit(f"final_by_{c}").alias("section"), F.coalesce(F.col(c), F.lit("None")).alias("key")) for c in ("level_1", "source_priority", "crawl_type")]))
-    by = kept.select(spread.alias("p")).groupBy("p.section", "p.key").agg(F.count(F.lit(1)).alias("n"))
-    totals = decided.agg(F.count(F.lit(1)).alias("input_records"), F.count_if(F.col("filter_decision") == "kept").alias("final_records"), F.coalesce(F.sum(F.size("reasons")).cast("long"), F.lit(0)).alias("removed_records"))
-    uniques = kept.agg(F.count_distinct("effective_url").alias("unique_urls_final"), F.count_distinct("effective_content_hash").alias("unique_content_hashes_final"))
-    flat = [t.select(F.explode(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).alias("n")) for c in t.columns])).alias("p")).select(F.lit("totals").alias("section"), "p.key", "p.n") for t in (totals, uniques)]
-    return reasons.unionByName(by).unionByName(flat[0]).unionByName(flat[1])
+    """``section, key, n`` of a decided table: removals by reason, kept and removed totals, kept by field.
+
+    One pass: a row is spread over what it counts towards; distinct values are counted once each.
+    """
+    kept = F.col("filter_decision") == "kept"
+    none = F.lit(None).cast("string")
+
+    def entry(section, key, value=none):
+        return F.struct(F.lit(section).alias("section"), (F.lit(key) if isinstance(key, str) else key).alias("key"), value.alias("value"))
+
+    why = F.coalesce("reasons", F.array().cast("array<string>"))
+    final = [entry("totals", "final_records"), *[entry(f"final_by_{c}", F.coalesce(F.col(c), F.lit("None"))) for c in ("level_1", "source_priority", "crawl_type")]]
+    uniques = {"unique_urls_final": F.col("effective_url"), "unique_content_hashes_final": F.col("effective_content_hash")}
+    final += [F.when(v.isNotNull(), entry("totals", k, v)) for k, v in uniques.items()]
+    entries = F.concat(
+        F.array(entry("totals", "input_records")), F.when(kept, F.array(*final)).otherwise(F.filter(F.array(entry("", "")), lambda x: F.lit(False))),
+        F.transform(why, lambda r: entry("removed_by_reason", r)), F.transform(why, lambda r: entry("totals", "removed_records")),
+    )
+    spread = decided.select(F.explode(F.filter(entries, lambda x: x.isNotNull())).alias("x")).groupBy("x.section", "x.key", "x.value").agg(F.count(F.lit(1)).alias("n"))
+    spread = spread.select("section", "key", F.when(F.col("value").isNull(), F.col("n")).otherwise(1).alias("n"))
+    names = ["input_records", "final_records", "removed_records", *uniques]
+    zero = decided.sparkSession.range(1).select(F.explode(F.array(*[F.lit(k) for k in names])).alias("key")).select(F.lit("totals").alias("section"), "key", F.lit(0).cast("long").alias("n"))
+    return spread.unionByName(zero).groupBy("section", "key").agg(F.sum("n").alias("n"))
 
 
 def crawl_summary(records: DataFrame) -> DataFrame:
@@ -83,6 +97,46 @@ def crawl_summary(records: DataFrame) -> DataFrame:
     return flat.unionByName(records.select(spread.alias("p")).groupBy("p.section", "p.key").agg(F.count(F.lit(1)).alias("n")))
 
 
+def _counts(rows: DataFrame, section: str, key: Column) -> DataFrame:
+    return rows.select(F.lit(section).alias("section"), F.coalesce(key.cast("string"), F.lit("")).alias("key")).groupBy("section", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def discovery_summary(records: DataFrame, discovered: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``section, key, n`` of site crawls: records by depth, pages by quality flag, links by outcome and reason."""
+    out = _counts(records.where("discovery_depth is not null"), "discovery_depth_records", F.col("discovery_depth"))
+    out = out.unionByName(_counts(records.select(F.explode("content_quality_flags").alias("flag")), "content_quality_flags", F.col("flag")))
+    out = out.unionByName(_counts(rejected, "rejected_link_reasons", F.col("reason")))
+    return out.unionByName(_counts(discovered, "links", F.lit("accepted"))).unionByName(_counts(rejected, "links", F.lit("rejected")))
+
+
+def seed_summary(selected: DataFrame, disabled: DataFrame) -> DataFrame:
+    """``section, key, n`` of a dry run: how many seeds, and the selected by priority, type and coin."""
+    out = _counts(selected, "totals", F.lit("selected_sources")).unionByName(_counts(disabled, "totals", F.lit("disabled_sources_skipped")))
+    for field in ("source_priority", "crawl_type", "coin"):
+        out = out.unionByName(_counts(selected, f"selected_by_{field}", F.col(field)))
+    return out
+
+
+def cap_stats(decided: DataFrame, caps: Sequence[tuple[str, int, str]]) -> DataFrame:
+    """``source_group, matched, max_keep, kept, removed, priority_override`` of each (name, keep, priority) in ``caps``, in one pass.
+
+    A record that a cap kept may be removed by a later one; it counts as kept where it was kept.
+    """
+    hits = F.coalesce("cap_reasons", F.array().cast("array<string>"))
+    chosen = F.coalesce("caps_kept", F.array().cast("array<string>"))
+    counts = [(F.count_if(F.array_contains(chosen, name)), F.count_if(F.array_contains(hits, f"source_limit_exceeded_{name}"))) for name, _, _ in caps]
+    flat = decided.agg(*[c.alias(f"{kind}{i}") for i, pair in enumerate(counts) for kind, c in zip("kr", pair, strict=True)])
+    rows = [F.struct(F.lit(name).alias("source_group"), (F.col(f"k{i}") + F.col(f"r{i}")).alias("matched"), F.lit(keep).cast("long").alias("max_keep"), F.col(f"k{i}").alias("kept"), F.col(f"r{i}").alias("removed"), F.lit(priority).alias("priority_override")) for i, (name, keep, priority) in enumerate(caps)]
+    return flat.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
+def capped_documents(chunks: DataFrame, limit: int = 100) -> tuple[list[str], int]:
+    """The first ``limit`` ids of documents that lost chunks to a cap, in order, and how many more there are."""
+    capped = chunks.where("doc_capped").select("doc_id").distinct()
+    first = [r[0] for r in capped.orderBy("doc_id").limit(limit).collect()]
+    return first, max(0, capped.count() - len(first))
+
+
 def report(metrics: DataFrame, title: str) -> str:
     """A plain-text report of a ``section, key, n`` table, whose size is that of its sections' vocabularies."""
     lines, last = [title], None

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.chunking import chunk_texts, normalize_document_udf
+from ..functions.chunking import chunk_document
 from ..functions.text import first_filled, first_nonzero, or_default, sanitize_id, strip
 from ..plans.session import ship
+from ..plans.tables import written
 
 
 @dataclass(frozen=True)
@@ -56,9 +57,9 @@ def document_cap(columns: list[str], config: ChunkConfig = ChunkConfig()) -> Col
     return F.least(F.lit(config.max_chunks), by_type, by_rank)
 
 
-def skip_reason(normal: Column, status: Column, config: ChunkConfig = ChunkConfig()) -> Column:
+def skip_reason(length: Column, status: Column, config: ChunkConfig = ChunkConfig()) -> Column:
     why = F.when((or_default(status, "ok") != "ok") & F.lit(config.require_ok), "status_not_ok")
-    return why.when(normal == "", "empty_content").when(F.length(normal) < config.min_doc_chars, "doc_too_short")
+    return why.when(length == 0, "empty_content").when(length < config.min_doc_chars, "doc_too_short")
 
 
 FALLBACKS = {
@@ -97,13 +98,16 @@ def embedding_text(text: Column) -> Column:
     return strip(F.concat(F.concat_ws("\n", *said), F.lit("\n\n"), text))
 
 
-def chunk_documents(records: DataFrame, config: ChunkConfig = ChunkConfig()) -> tuple[DataFrame, DataFrame]:
-    """Chunk rows and skipped records. One Arrow UDF a record, no shuffle."""
+def chunk_documents(records: DataFrame, config: ChunkConfig = ChunkConfig(), once: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Chunk rows and skipped records. One Arrow UDF a record, no shuffle; with ``once`` its result is written for both."""
     ship(records.sparkSession)
     cols = records.columns
-    ready = records.withColumn("_normal", normalize_document_udf(or_default(F.col("content")))).withColumns({"_skip": skip_reason(F.col("_normal"), F.col("status"), config), "_p": chunk_params(cols, config), "_cap": document_cap(cols, config)})
-    skipped = ready.where("_skip is not null").select("ord", F.col("_skip").alias("reason"), F.when(F.col("_skip") == "status_not_ok", F.col("status")).alias("status"), F.when(F.col("_skip") == "doc_too_short", F.length("_normal")).alias("char_count"), "url", "title", "doc_id")
-    kept = ready.where("_skip is null").withColumn("_all", chunk_texts("_normal", F.col("_p.size"), F.col("_p.overlap"), F.lit(config.min_chunk_chars)))
+    ready = records.withColumns({"_p": chunk_params(cols, config), "_cap": document_cap(cols, config)})
+    ready = ready.withColumn("_made", chunk_document(or_default(F.col("content")), F.col("_p.size"), F.col("_p.overlap"), F.lit(config.min_chunk_chars), F.lit(config.min_doc_chars)))
+    ready = written(ready, "chunks") if once else ready
+    ready = ready.withColumn("_skip", skip_reason(F.col("_made.n"), F.col("status"), config))
+    skipped = ready.where("_skip is not null").select("ord", F.col("_skip").alias("reason"), F.when(F.col("_skip") == "status_not_ok", F.col("status")).alias("status"), F.when(F.col("_skip") == "doc_too_short", F.col("_made.n")).alias("char_count"), "url", "title", "doc_id")
+    kept = ready.where("_skip is null").withColumn("_all", F.col("_made.chunks"))
     kept = kept.withColumn("_few", F.when((F.col("_cap") > 0) & (F.size("_all") > F.col("_cap")), F.slice("_all", F.lit(1), F.col("_cap"))).otherwise(F.col("_all")))
     meta = metadata(cols)
     flat = kept.select("ord", *[c.alias(n) for n, c in meta.items()], F.col("_p.size").alias("chunk_size_param"), F.col("_p.overlap").alias("overlap_param"), F.size("_all").alias("doc_original_chunk_count"), (F.size("_few") < F.size("_all")).alias("doc_capped"), F.size("_few").alias("chunk_count_in_doc"), F.posexplode("_few").alias("chunk_index", "chunk_text"))

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import meta_list, meta_value, normalize_export, text_of
+from ..functions.text import let, meta_list, meta_value, normalize_export, text_of
 from .chunks import first_of
 
 DELIMITER = "---CHUNK_END---"
@@ -53,12 +53,18 @@ def block(columns: Sequence[str], delimiter: str = DELIMITER) -> Column:
             return F.lit("")
         return meta_list(F.col(name)) if name == "topic_tags" else meta_value(F.col(name))
 
-    header = F.concat_ws("\n", *[F.when(value(n) != "", F.concat(F.lit(f"[{n}="), value(n), F.lit("]"))) for n in HEADER])
+    # each value is made once: header and hint read it from a struct
+    header_of = lambda v: F.concat_ws("\n", *[F.when(v[n] != "", F.concat(F.lit(f"[{n}="), v[n], F.lit("]"))) for n in HEADER])
     said = [("coin", "coin"), ("chain", "chain"), ("domain", "knowledge_domain"), ("category", "knowledge_category"), ("source", "source_name"), ("url", "url")]
-    hint = F.concat(F.lit("Document metadata: "), F.concat_ws("; ", *[F.concat(F.lit(f"{k}="), value(n)) for k, n in said]), F.lit("."))
     body = F.trim(F.replace(chunk_text(columns), F.lit(delimiter), F.lit(" ")))
-    parts = [F.nullif(header, F.lit("")), hint, F.when(value("title") != "", F.concat(F.lit("Title: "), value("title"))), F.nullif(body, F.lit(""))]
-    return F.concat(F.concat_ws("\n", *parts), F.lit(f"\n{delimiter}\n"))
+
+    def build(v: Column) -> Column:
+        hint = F.concat(F.lit("Document metadata: "), F.concat_ws("; ", *[F.concat(F.lit(f"{k}="), v[n]) for k, n in said]), F.lit("."))
+        title = F.when(v["title"] != "", F.concat(F.lit("Title: "), v["title"]))
+        return F.concat_ws("\n", F.nullif(header_of(v), F.lit("")), hint, title, F.nullif(v["_body"], F.lit("")))
+
+    values = F.struct(*[value(n).alias(n) for n in HEADER], body.alias("_body"))
+    return F.concat(let(values, build), F.lit(f"\n{delimiter}\n"))
 
 
 def balanced(chunks: DataFrame, max_cex: int = 250, max_cex_per_doc: int = 40, max_total: int = 0) -> DataFrame:
@@ -100,13 +106,13 @@ def library_distributions(chunks: DataFrame, fields: Sequence[str], limit: int =
     return top_of(distributions(both, fields, "<EMPTY>", by=["library"]), ["library", "field"], limit)
 
 
-def pack_parts(blocks: DataFrame, max_bytes: int, text: str = "block", order: str = "ord", by: str = "library") -> DataFrame:
-    """``part`` (from 1) of each block: next-fit packing in order, a block larger than a part alone.
+def pack_parts(blocks: DataFrame, max_bytes: int, text: str = "block", order: str = "ord", by: str = "library", place: str | None = None) -> DataFrame:
+    """``part`` (from 1) of each block: next-fit packing in order of ``place``, a block larger than a part alone.
 
-    The running size restarts with every part, so it is a scan of one library in order. Only sizes enter
+    A block counts with the blank line that follows it in a file. The running size restarts with every part, so it is a scan of one library in order. Only sizes enter
     it, in parallel over libraries, and blocks of a library are read in batches, not as one frame.
     """
-    sizes = blocks.select(by, order, F.octet_length(text).cast("long").alias("size"))
+    sizes = blocks.select(by, order, *([place] if place else []), (F.octet_length(text) + 1).cast("long").alias("size"))
 
     def scan(batches):
         name, part, held = None, 0, 0
@@ -121,5 +127,5 @@ def pack_parts(blocks: DataFrame, max_bytes: int, text: str = "block", order: st
                 parts.append(part)
             yield pd.DataFrame({by: pdf[by], order: pdf[order], "part": parts})
 
-    ordered = sizes.repartition(by).sortWithinPartitions(by, order)
+    ordered = sizes.repartition(by).sortWithinPartitions(by, place or order).select(by, order, "size")
     return ordered.mapInPandas(scan, f"{by} string, {order} long, part long")

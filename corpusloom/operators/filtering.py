@@ -126,12 +126,17 @@ def group_lists(rows: DataFrame, key: str) -> DataFrame:
 
 
 def merged_tags(rows: DataFrame, key: str) -> DataFrame:
-    """``key, topic_tags``: the tags and level pairs of a group, first seen first, for groups of several rows."""
+    """``key, topic_tags``: the tags and level pairs of a group, first seen first, for groups of several rows.
+
+    Tags are reduced to the first place of each before they are listed, so a list is as long as its vocabulary.
+    """
     pair = F.when(first_filled(F.col("level_1"), F.col("level_2")).isNotNull(), F.array(F.concat(text_of(F.col("level_1")), F.lit("/"), text_of(F.col("level_2"))))).otherwise(F.array().cast("array<string>"))
     tags = F.filter(F.transform(F.concat(F.coalesce(F.col("topic_tags"), F.array().cast("array<string>")), pair), strip), lambda x: x != "")
-    lists = F.array_sort(F.collect_list(F.struct("ord", tags.alias("t"))))
-    merged = F.array_distinct(F.flatten(F.transform(lists, lambda x: x["t"])))
-    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), merged.alias("topic_tags")).where("n > 1").drop("n")
+    spread = rows.select(key, "ord", F.posexplode_outer(tags).alias("p", "t"))
+    counted = F.count_if(F.coalesce("p", F.lit(0)) == 0)  # each row has one first tag, or none at all
+    firsts = spread.groupBy(key, "t").agg(F.min(F.struct("ord", "p")).alias("at"), counted.alias("n"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("t").isNotNull(), F.struct("at", "t"))))
+    return firsts.groupBy(key).agg(F.sum("n").alias("n"), F.transform(listed, lambda x: x["t"]).alias("topic_tags")).where("n > 1").drop("n")
 
 
 def low_value_reason() -> Column:
@@ -159,7 +164,7 @@ def apply_caps(rows: DataFrame, caps: list[SourceCap] | None = None) -> DataFram
     which are broadcast back; no window gathers a large source in one task.
     """
     none = F.lit(None).cast("string")
-    rows = rows.withColumns({"cap_reasons": F.array().cast("array<string>"), "source_priority_original": none, "source_limit_group": none, "source_limit_max_keep": F.lit(None).cast("long"), "filter_priority_note": none})
+    rows = rows.withColumns({"cap_reasons": F.array().cast("array<string>"), "source_priority_original": none, "source_limit_group": none, "source_limit_max_keep": F.lit(None).cast("long"), "filter_priority_note": none, "caps_kept": F.array().cast("array<string>")})
     for cap in caps or source_caps():
         rows = rows.withColumn("_hit", F.coalesce(cap.test, F.lit(False)))
         best = rows.where("_hit").orderBy(*_best_first()).limit(cap.keep).select("ord", F.lit(True).alias("_stays"))
@@ -170,7 +175,9 @@ def apply_caps(rows: DataFrame, caps: list[SourceCap] | None = None) -> DataFram
             "filter_priority_note": F.lit(f"Downgraded by large-source rule: {cap.name}"), "source_priority": F.lit(cap.priority), "r_priority": lowered,
         }
         changed = {c: F.when(F.col("_stays"), v).otherwise(F.col(c)) for c, v in new.items()}
+        changed["source_limit_max_keep"] = F.when(F.col("_stays") | F.col("_over"), F.lit(cap.keep).cast("long")).otherwise(F.col("source_limit_max_keep"))
         changed["cap_reasons"] = F.when(F.col("_over"), F.array_append("cap_reasons", F.lit(f"source_limit_exceeded_{cap.name}"))).otherwise(F.col("cap_reasons"))
+        changed["caps_kept"] = F.when(F.col("_stays"), F.array_append("caps_kept", F.lit(cap.name))).otherwise(F.col("caps_kept"))
         rows = rows.withColumns(changed).drop("_hit", "_stays", "_over")
     return rows
 
@@ -193,11 +200,9 @@ def decide(records: DataFrame) -> DataFrame:
         rejected.append(marked.where("not is_best").select("ord", "doc_id", "kept_doc_id", "kept_url", F.array("reason").alias("reasons")))
         current = marked.where("is_best").drop("is_best", "kept_doc_id", "kept_url", "reason")
     rejected.append(current.where("low_reason is not null").select("ord", "doc_id", F.array("low_reason").alias("reasons")))
-    capped = written(apply_caps(written(current.where("low_reason is null").drop("low_reason"), "filter-deduped")), "filter-capped")
-    rejected.append(capped.where(F.size("cap_reasons") > 0).select("ord", "doc_id", F.col("cap_reasons").alias("reasons")))
-    kept = capped.where(F.size("cap_reasons") == 0)
-    none = F.lit(None).cast("string")
-    out = kept.withColumns({"filter_decision": F.lit("kept"), "reasons": F.lit(None).cast("array<string>"), "kept_doc_id": none, "kept_url": none})
+    capped = apply_caps(written(current.where("low_reason is null").drop("low_reason"), "filter-deduped"))
+    kept = F.size("cap_reasons") == 0
+    out = capped.withColumns({"filter_decision": F.when(kept, "kept").otherwise("removed"), "reasons": F.when(~kept, F.col("cap_reasons")), "kept_doc_id": F.lit(None).cast("string"), "kept_url": F.lit(None).cast("string")})
     for r in rejected:
         out = out.unionByName(r.withColumn("filter_decision", F.lit("removed")), allowMissingColumns=True)
     return out
@@ -233,27 +238,30 @@ def filtered_corpus(records: DataFrame) -> DataFrame:
 
 
 def group_tags(records: DataFrame) -> DataFrame:
-    """``ord, merged_tags`` of records that absorbed others, by URL and then by content."""
+    """``ord, merged_tags`` and the lists of what was absorbed, by URL and then by content."""
     ready = with_effective(records).where(hard_reason(records.columns).isNull()).withColumns(rank_columns())
     fields = ["ord", "doc_id", "url", "effective_url", "effective_content_hash", "topic_tags", "level_1", "level_2", "r_priority", "r_topic", "r_size", "r_line"]
     current = written(ready.select(*fields), "filter-tags")
-    for key in ("effective_url", "effective_content_hash"):
+    found = []
+    for key, column, name in (("effective_url", "merged_ids", "dedup_url_merged_doc_ids"), ("effective_content_hash", "loser_urls", "dedup_content_hash_duplicate_urls")):
         merged = merged_tags(current, key).withColumnRenamed("topic_tags", "merged")
-        best = keep_best(current, key, "").where("is_best").select(*fields)
-        current = best.join(merged, key, "left").withColumn("topic_tags", F.coalesce("merged", "topic_tags")).withColumn("absorbed", F.col("merged").isNotNull()).drop("merged")
-    return current.select("ord", F.col("topic_tags").alias("merged_tags"))
+        lists = group_lists(current, key).select(key, F.col(column).alias(name))
+        best = keep_best(current, key, "").where("is_best").select(*fields, *found)
+        current = best.join(merged, key, "left").join(lists, key, "left").withColumn("topic_tags", F.coalesce("merged", "topic_tags")).drop("merged")
+        found.append(name)
+    return current.select("ord", F.col("topic_tags").alias("merged_tags"), *found)
 
 
 KEPT = ["filter_decision", "effective_url", "effective_content_hash", "source_priority_original", "source_limit_group", "source_limit_max_keep", "filter_priority_note"]
 
 
-def filter_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+def filter_records(records: DataFrame, decided: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``kept, removed``: whole records with what the filter adds. Decisions are made on narrow rows and joined back."""
-    decided = written(decide(records), "filter-decided")
+    decided = written(decide(records), "filter-decided") if decided is None else decided
     added = decided.where("filter_decision = 'kept'")
     counts = {"effective_url_removed_count": "dedup_url_removed_count", "effective_content_hash_removed_count": "dedup_content_hash_removed_count"}
     numbered = order_kept(added).select("ord", "filter_run_order", F.col("source_priority").alias("_priority"), *KEPT, *[F.nullif(F.col(old), F.lit(0)).alias(new) for old, new in counts.items()])
     kept = records.join(numbered, "ord").join(group_tags(records), "ord", "left")
     kept = kept.withColumns({"source_priority": F.col("_priority"), "topic_tags": F.coalesce("merged_tags", "topic_tags")}).withColumn("topic_count", F.size("topic_tags")).drop("_priority", "merged_tags")
-    gone = decided.where("filter_decision = 'removed'").select("ord", "filter_decision", F.col("reasons").alias("filter_reasons"), "kept_doc_id", "kept_url", "effective_char_count")
+    gone = decided.where("filter_decision = 'removed'").select("ord", "filter_decision", F.col("reasons").alias("filter_reasons"), "kept_doc_id", "kept_url", "effective_char_count", "source_limit_max_keep")
     return kept, records.join(gone, "ord")

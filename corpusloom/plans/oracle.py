@@ -130,7 +130,21 @@ def oracle_sql() -> dict[str, str]:
     by_field = " UNION ALL ".join(f"SELECT 'final_by_{c}' AS section, coalesce({e}, 'None') AS key, count(*) AS n FROM capped WHERE why = '' GROUP BY ALL" for c, e in (("level_1", "level_1"), ("source_priority", "final_priority"), ("crawl_type", "crawl_type")))
     summary = " UNION ALL ".join(f"SELECT '{c}' AS section, coalesce({c}, 'None') AS key, count(*) AS n FROM records GROUP BY ALL" for c in ("status", "crawl_type", "source_priority", "knowledge_domain", "level_1"))
     squeezed = r"list_filter(list_transform(string_split(regexp_replace(replace(text, chr(13), chr(10)), '[ \t\v\f]+', ' ', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '')"
+    block_parts = f"b AS (SELECT chunk_id, ord, {LIBRARY} AS library, concat_ws(chr(10), {block_header}) AS head, {_meta('title')} AS t, trim({NORMAL.format(c='chunk_text')}) AS body, 'Document metadata: coin=' || coalesce(coin, '') || '; chain=' || coalesce(chain, '') || '; domain=' || coalesce(knowledge_domain, '') || '; category=' || coalesce(knowledge_category, '') || '; source=' || source_name || '; url=' || url || '.' AS hint FROM chunks)"
+    block_text = f"concat_ws(chr(10), head, hint, 'Title: ' || t, nullif(body, '')) || chr(10) || '{E.DELIMITER}' || chr(10)"
     return {
+        "chunk_skips": f"WITH {records_cte()}" + r""", split AS (SELECT doc_id, ord, list_transform(string_split(regexp_replace(replace(replace(replace(replace(trim(coalesce(content, '')), chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(8203), ''), chr(160), ' '), '[ \t\v\f]+', ' ', 'g'), chr(10)), lambda x: trim(x)) AS l FROM records),
+            flat AS (SELECT doc_id, ord, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM split),
+            told AS (SELECT *, sum(CASE WHEN line = '' THEN 1 ELSE 0 END) OVER (PARTITION BY ord ORDER BY i) AS blanks FROM flat),
+            fresh AS (SELECT * FROM (SELECT *, lag(line) OVER (PARTITION BY ord ORDER BY i) AS before FROM told WHERE line <> '') WHERE before IS NULL OR before <> line),
+            glue AS (SELECT ord, length(line) + CASE WHEN lag(blanks) OVER w IS NULL THEN 0 WHEN blanks > lag(blanks) OVER w THEN 2 ELSE 1 END AS n FROM fresh WINDOW w AS (PARTITION BY ord ORDER BY i)),
+            sized AS (SELECT doc_id, coalesce((SELECT sum(n) FROM glue WHERE glue.ord = split.ord), 0) AS n FROM split)
+            SELECT doc_id, CASE WHEN n = 0 THEN 'empty_content' ELSE 'doc_too_short' END AS reason, CAST(CASE WHEN n > 0 THEN n END AS INT) AS char_count FROM sized WHERE n < 500""",
+        "part_packing": f"WITH RECURSIVE {CHUNKS_CTE}, {block_parts}" + f""", s AS MATERIALIZED (SELECT library, ord, row_number() OVER (PARTITION BY library ORDER BY ord) AS rn, octet_length(encode({block_text})) + 1 AS size FROM b WHERE library IS NOT NULL),
+            c AS (SELECT *, sum(size) OVER (PARTITION BY library ORDER BY rn) AS upto FROM s),
+            leap AS MATERIALIZED (SELECT a.library, a.rn, coalesce(greatest(a.rn + 1, z.rn), 1000000000) AS nxt FROM (SELECT *, upto - size + 200000 AS most FROM c) a ASOF LEFT JOIN c z ON z.library = a.library AND a.most < z.upto),
+            starts AS (SELECT library, 1::BIGINT AS rn, 1::BIGINT AS part FROM s GROUP BY library UNION ALL SELECT l.library, l.nxt, starts.part + 1 FROM starts JOIN leap l ON l.library = starts.library AND l.rn = starts.rn WHERE l.nxt < 1000000000)
+            SELECT s.library, s.ord, max(starts.part) AS part FROM s JOIN starts ON starts.library = s.library AND starts.rn <= s.rn GROUP BY s.library, s.ord""",
         "hard_filter_reasons": f"WITH {records_cte()} SELECT doc_id, coalesce({HARD}, 'kept') AS reason, {EFFECTIVE} AS effective_char_count FROM records",
         "url_dedup_keep_best": _ready("records_recrawl") + f" SELECT doc_id, eu AS effective_url, CASE WHEN row_number() OVER w = 1 THEN 'kept' ELSE 'duplicate_url' END AS decision, first_value(doc_id) OVER w AS kept_doc_id FROM ready WINDOW w AS (PARTITION BY eu ORDER BY {BEST})",
         "content_dedup_keep_best": _ready("records_ok") + f" SELECT doc_id, CASE WHEN row_number() OVER w = 1 THEN 'kept' ELSE 'duplicate_content_hash' END AS decision, first_value(doc_id) OVER w AS kept_doc_id, count(*) OVER (PARTITION BY content_hash) - 1 AS n_removed FROM ready WINDOW w AS (PARTITION BY content_hash ORDER BY {BEST})",
@@ -156,7 +170,7 @@ def oracle_sql() -> dict[str, str]:
         "text_normalize_export": f"SELECT doc_id, sha256({NORMAL.format(c='text')}) AS sha, length(trim(replace(text, chr(10), ' '))) AS one_line_chars FROM documents",
         "line_uniqueness": "WITH s AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS l FROM documents) SELECT doc_id, round(len(list_distinct(l)) / greatest(len(l), 1)::DOUBLE, 9) AS unique_line_ratio FROM s",
         "library_classification": f"WITH {CHUNKS_CTE} SELECT chunk_id, coalesce({LIBRARY}, 'none') AS library FROM chunks",
-        "export_blocks": f"WITH {CHUNKS_CTE}, b AS (SELECT chunk_id, concat_ws(chr(10), {block_header}) AS head, {_meta('title')} AS t, trim({NORMAL.format(c='chunk_text')}) AS body, 'Document metadata: coin=' || coalesce(coin, '') || '; chain=' || coalesce(chain, '') || '; domain=' || coalesce(knowledge_domain, '') || '; category=' || coalesce(knowledge_category, '') || '; source=' || source_name || '; url=' || url || '.' AS hint FROM chunks) SELECT chunk_id, sha256(concat_ws(chr(10), head, hint, 'Title: ' || t, nullif(body, '')) || chr(10) || '{E.DELIMITER}' || chr(10)) AS block_sha FROM b",
+        "export_blocks": f"WITH {CHUNKS_CTE}, {block_parts} SELECT chunk_id, sha256({block_text}) AS block_sha FROM b",
         "balanced_library": f"WITH {CHUNKS_CTE}{BALANCED} SELECT chunk_id, library FROM named WHERE chunk_id IN (SELECT chunk_id FROM balanced)",
         "library_distributions": f"WITH {CHUNKS_CTE}{BALANCED}, both_libs AS (SELECT * FROM named WHERE library IS NOT NULL UNION ALL SELECT * REPLACE ('balanced' AS library) FROM named WHERE chunk_id IN (SELECT chunk_id FROM balanced)), flat AS ({lib}), counted AS (SELECT library, field, key, count(*) AS n, min(ord) AS first_ord FROM flat GROUP BY ALL), ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY library, field ORDER BY n DESC, first_ord) AS INT) AS rank FROM counted) SELECT * FROM ranked WHERE rank <= 30",
         "topn_with_other": f"WITH {CHUNKS_CTE}, c AS (SELECT level_2 AS key, count(*) AS n, min(ord) AS f FROM chunks GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, f) AS rn FROM c), m AS (SELECT CASE WHEN rn <= 12 THEN key ELSE 'other' END AS key, CAST(sum(n) AS BIGINT) AS n FROM r GROUP BY 1) SELECT key, n, round(n * 100.0::DOUBLE / sum(n) OVER (), 6) AS percent FROM m",

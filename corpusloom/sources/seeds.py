@@ -9,10 +9,15 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import first_filled, strip, text_of
+from ..functions.text import as_list, first_filled, strip, text_of, whole_number
 
-TEXT = "id source_id name source_name group type crawl_type url normalized_url owner repo branch level_1 level_2 coin chain asset_type knowledge_domain knowledge_category source_authority source_priority topic_tags notes path_prefix".split()
-SCHEMA = ", ".join([*(f"`{c}` string" for c in TEXT), "extensions array<string>", "max_files bigint", "max_pages bigint", "max_depth bigint", "same_domain boolean", "crawl_enabled boolean", "topic_count bigint"])
+#: Seed fields by type, and the ones that every record of a seed carries on.
+TEXT = "id source_id name source_name group type crawl_type url normalized_url branch level_1 level_2 coin chain asset_type knowledge_domain knowledge_category source_authority source_priority notes".split()
+LISTS = "topic_tags extensions deny_extensions path_prefix link_score_keywords link_penalty_keywords".split()
+WHOLE = "max_files max_pages max_depth min_good_content_chars topic_count".split()
+SHARES = "min_link_score min_content_quality_score".split()
+FLAGS = "same_domain crawl_enabled follow_low_quality_pages".split()
+CARRIED = "id level_1 level_2 coin chain asset_type knowledge_domain knowledge_category source_authority source_priority crawl_enabled topic_tags topic_count normalized_url notes".split()
 
 
 def load_seeds(spark: SparkSession, path: str) -> DataFrame:
@@ -27,7 +32,10 @@ def load_seeds(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError("a seed list is a JSON list or an object with a list named sources")
     rows = [(i, json.dumps(e)) for i, e in enumerate(entries) if isinstance(e, dict)]
     raw = spark.createDataFrame(rows, "ord long, json string")
-    seeds = raw.select("ord", F.from_json("json", SCHEMA).alias("s")).select("ord", "s.*")
+    m = F.col("_m")
+    typed = [m[c].alias(c) for c in TEXT] + [F.when(m[c].isNotNull(), as_list(m[c])).alias(c) for c in LISTS] + [whole_number(m[c]).alias(c) for c in WHOLE]
+    typed += [m[c].try_cast("double").alias(c) for c in SHARES] + [F.when(m[c].isNotNull(), ~F.lower(m[c]).isin("false", "", "0", "0.0", "[]", "{}")).alias(c) for c in FLAGS]
+    seeds = raw.withColumn("_m", F.from_json("json", "map<string,string>")).select("ord", *typed)
     return with_defaults(seeds)
 
 
@@ -78,15 +86,25 @@ def dispatch(seeds: DataFrame) -> DataFrame:
     return seeds.withColumns({"family": family, "error": F.when(family.isNull(), F.concat(F.lit("unknown crawl_type: "), F.col("crawl_type")))})
 
 
-def repository_files(tree: DataFrame, extensions: Sequence[str] = (".md", ".txt", ".rst", ".mediawiki", ".adoc"), max_files: int = 200) -> DataFrame:
+EXTENSIONS = (".md", ".txt", ".rst", ".mediawiki", ".adoc")
+
+
+def repository_files(tree: DataFrame, extensions: Sequence[str] = EXTENSIONS, max_files: int = 200) -> DataFrame:
     """The first ``max_files`` blobs of each repository tree with a wanted suffix, in the tree's order.
 
-    ``tree``: owner, repo, json (the tree API's answer). bitcoin/bips keeps at least 500.
+    ``tree``: owner, repo, json (the tree API's answer), and optionally a seed's own ``extensions`` and
+    ``max_files``; its other columns stay. bitcoin/bips keeps at least 500 unless the seed sets a number.
     """
     entries = F.from_json(F.get_json_object("json", "$.tree"), "array<struct<path:string,type:string>>")
     most = F.when((F.lower("owner") == "bitcoin") & (F.lower("repo") == "bips"), F.greatest(F.lit(500), F.lit(max_files))).otherwise(F.lit(max_files))
-    wanted = lambda e: (e["type"] == "blob") & F.exists(F.array(*[F.lit(x.lower()) for x in extensions]), lambda x: F.lower(e["path"]).endswith(x))
-    return tree.select("owner", "repo", F.posexplode(F.slice(F.filter(entries, wanted), F.lit(1), most)).alias("nth", "e")).select("owner", "repo", "nth", F.col("e.path").alias("path"))
+    wanted_ends = F.array(*[F.lit(x) for x in extensions])
+    if "max_files" in tree.columns:
+        most = F.coalesce(F.col("max_files").cast("int"), most)
+    if "extensions" in tree.columns:
+        wanted_ends = F.coalesce("extensions", wanted_ends)
+    wanted = lambda e: (e["type"] == "blob") & F.exists(wanted_ends, lambda x: F.lower(e["path"]).endswith(F.lower(x)))
+    others = [c for c in tree.columns if c not in ("json", "extensions", "max_files")]
+    return tree.select(*others, F.posexplode(F.slice(F.filter(entries, wanted), F.lit(1), most)).alias("nth", "e")).select(*others, "nth", F.col("e.path").alias("path"))
 
 
 def default_branch(answer: Column) -> Column:

@@ -1,4 +1,5 @@
 import json
+import sqlite3
 
 from corpusloom.__main__ import main
 
@@ -24,9 +25,90 @@ def test_stages_run_one_after_the_other(spark, tmp_path):
     assert (tmp_path / "f/filter_report.md").read_text().startswith("Filter report")
 
 
+def test_folders_of_part_files_give_what_one_file_gives(spark, tmp_path):
+    """Filter, chunk and export over three part files, string tags and string counts: the same rows and files as from one file."""
+    long = "A sentence that says something about wallets and fees. "
+    rows = [dict(status="ok", title="t", doc_id=f"d{i}", url=f"https://e.org/{i % 7}", content=f"{i % 5} " + long * (20 + i % 5), char_count=str(1200 + i % 5), topic_tags="k; l" if i % 2 else ["m"], level_1="x", knowledge_domain="chain_model", source_priority="ABC"[i % 3], odd={"n": i}) for i in range(12)]
+    (tmp_path / "parts").mkdir()
+    for i in range(3):
+        (tmp_path / f"parts/part-{i}.json").write_text("\n".join(map(json.dumps, rows[4 * i : 4 * i + 4])) + "\n")
+    (tmp_path / "one.json").write_text("\n".join(map(json.dumps, rows)) + "\n")
+    seen = {}
+    for name in ("parts", "one.json"):
+        out = tmp_path / f"out-{name}"
+        main(["filter", str(tmp_path / name), "--out-dir", str(out / "f")], spark)
+        kept, removed = (spark.read.json(str(out / f"f/{x}")) for x in ("records_filtered", "records_removed"))
+        assert kept.count() + removed.count() == 12
+        main(["chunk", "--input", str(out / "f/records_filtered"), "--out", str(out / "c")], spark)
+        main(["export", "--input", str(out / "c/chunks"), "--out", str(out / "e")], spark)
+        text = "\n".join(p.read_text() for p in sorted((out / "e/protocol").glob("part-*")))
+        urls = {r["doc_id"]: (r["dedup_url_merged_doc_ids"], r["dedup_content_hash_duplicate_urls"], sorted(r["topic_tags"]), r["_extra"]) for r in kept.collect()}
+        seen[name] = (urls, {r["doc_id"]: r["filter_reasons"] for r in removed.collect()}, text)
+    # line numbers, the last sort key of the best, differ between the two inputs only in ties across files
+    assert seen["parts"][2].count("---CHUNK_END---") == seen["one.json"][2].count("---CHUNK_END---") > 0
+    assert set(seen["one.json"][0]) | set(seen["one.json"][1]) == {f"d{i}" for i in range(12)}
+    assert seen["parts"] == seen["one.json"]
+
+
 def test_crawl_stage(spark, tmp_path):
     (tmp_path / "seeds.json").write_text(json.dumps([{"id": "a", "url": "https://x.test/", "type": "html_crawl"}, {"id": "b", "url": "https://y.test/", "type": "html"}, {"id": "c", "url": "https://z.test/", "type": "ftp"}]))
     spark.createDataFrame([("https://x.test/", "<p>hello"), ("https://y.test/", "<p>there")], "url string, html string").write.parquet(str(tmp_path / "pages"))
     main(["crawl", "--config", str(tmp_path / "seeds.json"), "--pages", str(tmp_path / "pages"), "--out", str(tmp_path / "o")], spark)
     got = {r["source_id"]: (r["status"], r["error"]) for r in spark.read.json(str(tmp_path / "o/records")).collect()}
     assert got == {"a": ("ok", ""), "b": ("ok", ""), "c": ("failed", "unknown crawl_type: ftp")}
+
+
+def test_crawl_of_every_family_with_own_settings(spark, tmp_path):
+    """Files, repositories, PDF and site crawls from a snapshot; settings of one source don't touch another."""
+    git, raw = "https://api.github.com/repos/o/r", "https://raw.githubusercontent.com/o/r"
+    tree = json.dumps({"tree": [{"path": "a.md", "type": "blob"}, {"path": "b.bin", "type": "blob"}, {"path": "d", "type": "tree"}, {"path": "c.MD", "type": "blob"}, {"path": "z.md", "type": "blob"}]})
+    links = '<a href="https://s.test/docs/api">api</a><a href="https://s.test/x/wallet.bin">w</a><a href="https://s.test/plain">p</a>'
+    pages = [
+        (git, '{"default_branch": "dev"}', None), (f"{git}/git/trees/dev?recursive=1", tree, None), (f"{raw}/dev/a.md", "alpha \n\n alpha", None), (f"{raw}/dev/c.MD", "  ", None),
+        (f"{raw}/main/doc/x.md", "text", None), ("https://p.test/f.pdf", None, bytearray(b"not a pdf")), ("https://s.test/", links + "<p>" + "words " * 80, None), ("https://s.test/docs/api", "<p>short page</p>" + links, None), ("https://s.test/plain", "<p>" + "plain " * 80, None),
+        ("https://org.test/", "<h1>Org</h1><p>hello", None),
+    ]
+    spark.createDataFrame(pages, "url string, html string, body binary").write.parquet(str(tmp_path / "pages"))
+    crawl = {"type": "html_crawl", "url": "https://s.test/", "max_depth": 2, "source_priority": "A", "knowledge_domain": "chain_model"}
+    seeds = [
+        {"id": "repo", "type": "github_repo", "url": "https://github.com/o/r", "extensions": [".md"], "max_files": 3, "coin": "BTC", "topic_tags": "k; l"}, {"id": "norepo", "type": "github_repo", "url": "https://org.test/"},
+        {"id": "file", "type": "github_markdown", "url": "https://github.com/o/r/blob/main/doc/x.md"}, {"id": "paper", "type": "pdf", "url": "https://p.test/f.pdf", "name": "Paper"}, {"id": "gone", "type": "pdf", "url": "https://p.test/none.pdf"},
+        {"id": "site", **crawl}, {"id": "strict", **crawl, "min_link_score": 0.62, "path_prefix": "/docs"}, {"id": "own", **crawl, "deny_extensions": "plain", "link_score_keywords": ["plain"], "follow_low_quality_pages": True},
+        {"id": "off", "type": "html", "url": "https://org.test/", "crawl_enabled": False},
+    ]
+    (tmp_path / "seeds.json").write_text(json.dumps({"sources": [*seeds, "no seed"]}))
+    out = tmp_path / "o"
+    main(["crawl", "--config", str(tmp_path / "seeds.json"), "--pages", str(tmp_path / "pages"), "--out", str(out), "--sqlite", str(tmp_path / "db.sqlite"), "--texts"], spark)
+    rows = spark.read.json(str(out / "records")).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["source_id"], []).append(r)
+    assert [(r["title"], r["status"], r["content"], r["error"]) for r in sorted(by["repo"], key=lambda r: r["title"])] == [("a.md", "ok", "alpha", ""), ("c.MD", "partial", "", "empty text file"), ("z.md", "failed", "", "not in snapshot")]
+    assert {(r["coin"], tuple(r["topic_tags"]), r["github_branch"], r["source_type"]) for r in by["repo"]} == {("BTC", ("k", "l"), "dev", "github_repo")} and len({r["doc_id"] for r in rows}) == len(rows)
+    assert [(r["title"], r["content"]) for r in by["norepo"]] == [("Org", "Org\nhello")] and by["file"][0]["url"] == "https://github.com/o/r/blob/main/doc/x.md"
+    assert by["paper"][0]["status"] == "partial" and by["paper"][0]["title"] == "Paper" and by["gone"][0]["status"] == "failed"
+    pages_of = lambda name: {r["url"].removeprefix("https://s.test") for r in by[name]}
+    assert {"/", "/docs/api"} <= pages_of("site")
+    assert pages_of("strict") == {"/", "/docs/api"} and "/plain" not in pages_of("own") and "off" not in by
+    assert all(r["crawl_time"] and r["char_count"] == len(r["content"]) for r in rows)
+    with sqlite3.connect(tmp_path / "db.sqlite") as db:
+        assert db.execute("select count(*) from documents").fetchone()[0] == len(rows)
+    assert len(list((out / "clean_text").iterdir())) == sum(bool(r["content"]) for r in rows)
+    report = (out / "crawl_report.txt").read_text()
+    assert "discovery_depth_records:" in report and "disabled_sources_skipped: 1" in report and report.startswith("crawl_time: ")
+    assert spark.read.option("header", True).option("multiLine", True).csv(str(out / "preview")).count() == len(rows)
+    main(["crawl", "--config", str(tmp_path / "seeds.json"), "--out", str(tmp_path / "dry"), "--dry-run"], spark)
+    assert "selected_sources: 8" in (tmp_path / "dry/dry_run_report.txt").read_text()
+
+
+def test_export_parts_and_reports(spark, tmp_path):
+    """Libraries above the limit, the balanced one too, come in part files that hold their blocks in order."""
+    rows = [dict(chunk_id=f"c{i:02}", doc_id="d", chunk_text=f"text {i} " + "w" * 40_000, knowledge_domain="chain_model", source_priority="A", chunk_index=i) for i in range(6)] + [dict(chunk_id="r", doc_id="e", chunk_text="risk", knowledge_domain="risk_regulation")]
+    (tmp_path / "in.json").write_text("\n".join(map(json.dumps, rows)) + "\n")
+    main(["export", "--input", str(tmp_path / "in.json"), "--out", str(tmp_path / "e"), "--max-file-mb", "0.1"], spark)
+    parts = {p.name.removeprefix("file="): "".join(x.read_text() for x in p.glob("part-*")) for p in (tmp_path / "e/parts").iterdir() if p.name.startswith("file=")}
+    assert sorted(parts) == sorted(f"{n}_part{i:03}" for n in ("balanced", "protocol") for i in (1, 2, 3))
+    assert [parts["protocol_part002"].count(f"[chunk_id=c{i:02}]") for i in range(6)] == [0, 0, 1, 1, 0, 0] and parts["balanced_part003"].count("---CHUNK_END---") in (2, 3)
+    whole = "".join(p.read_text() for p in sorted((tmp_path / "e/protocol").glob("part-*")))
+    assert whole == "".join(parts[f"protocol_part{i:03}"] for i in (1, 2, 3))
+    assert "balanced knowledge_domain:" in (tmp_path / "e/export_report.txt").read_text()

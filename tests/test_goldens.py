@@ -1,5 +1,6 @@
 """Small hand-derived cases."""
 
+import hashlib
 import json
 
 import pytest
@@ -51,7 +52,22 @@ def test_chunker():
     assert len(made) > 5 and all(len(c) <= 750 for c in made)
     assert chunking.chunks_of("short", 500, 50, 100) == ["short"]
     assert chunking.cut_window("x" * 25, 10) == ["x" * 10, "x" * 10, "x" * 5]
-    assert chunking.overlap_of("abc. defgh ijklmnop", 10) == "jklmnop" or chunking.overlap_of("abc. defgh ijklmnop", 10)
+    assert chunking.overlap_of("abc. defgh ijklmnop", 10) == "ijklmnop"  # after the space in "h ijklmnop"
+    assert chunking.overlap_of("one. two three four", 14) == "three four" and chunking.overlap_of("short", 10) == "short"
+    assert chunking.overlap_of("any", 0) == "" and chunking.overlap_of("x" * 20, 5) == "xxxxx"
+
+
+def test_chunks_by_hand():
+    """Packing, overlaps, a cut of what outgrows 1.5 sizes, and the short end, worked out from the rules."""
+    a, b, c = "a" * 40, "b" * 40, "c" * 40
+    assert chunking.chunks_of(f"{a}\n\n{b}\n\n{c}", 90, 0, 10) == [f"{a}\n\n{b}", c]
+    assert chunking.chunks_of(f"{a}\n\n{b}\n\n{c}", 90, 0, 50) == [f"{a}\n\n{b}\n\n{c}"]  # the end is short: it joins
+    assert chunking.chunks_of(f"{a}\n\n{b}\n\n{c}", 50, 10, 10) == [a, "a" * 10 + f"\n\n{b}", "b" * 10 + f"\n\n{c}"]
+    assert chunking.chunks_of("One two. Three four. Five six.", 12, 0, 3) == ["One two.", "Three four.", "Five six."]
+    # overlap and unit make 49 of size 30: cut at the last space beyond 55 %
+    assert chunking.chunks_of("p" * 29 + "\n\n" + "q" * 27, 30, 20, 5) == ["p" * 29, "p" * 20, "q" * 27]
+    assert chunking.chunks_of("tiny\n\n" + "z" * 30, 30, 0, 10) == ["z" * 30]
+    assert chunking.normalize_document(" A \n\n\nA\n\u200bB\tC\n\nB C") == "A\n\nB C"
 
 
 def test_length_stats_and_frequencies(spark):
@@ -150,6 +166,36 @@ def test_jsonl(spark, tmp_path):
     assert files.read_jsonl(spark, str(path), "a long", keep_bad=False).count() == 2
 
 
+def test_jsonl_of_several_files_and_blocks(spark, tmp_path):
+    """``ord`` runs through all files by name, also where a file is read in blocks; no line comes back twice."""
+    sizes = {"part-00000.json": 700, "part-00001.json": 1, "part-00002.json": 900}
+    nth, expected = 0, []
+    for name, lines in sizes.items():
+        (tmp_path / name).write_text("".join(f'{{"a": {nth + i}, "pad": "{"x" * 40}"}}\n' for i in range(lines)))
+        expected += [(nth + i + 1, i + 1, nth + i) for i in range(lines)]
+        nth += lines
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        rows = files.read_jsonl(spark, str(tmp_path), "a bigint")
+        assert rows.rdd.getNumPartitions() > 3
+        assert [(r["ord"], r["_line_number"], r["a"]) for r in rows.orderBy("ord").collect()] == expected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_jsonl_takes_fields_of_any_type(spark, tmp_path):
+    lines = [
+        {"char_count": "600", "topic_tags": "x; y,z", "title": 7}, {"char_count": 600.9, "topic_tags": ["a", 1]}, {"char_count": "many", "topic_tags": '["p", "q"]', "own": [1, "b"]},
+        {"char_count": None, "topic_tags": None, "_line_number": 40}, {"char_count": 5, "topic_tags": '{"k": 1}', "_extra": '{"old": "1"}', "own": 2},
+    ]
+    (tmp_path / "in.jsonl").write_text("\n".join(map(json.dumps, lines)) + "\n[1]\n\"text\"\n{broken\n")
+    rows = files.read_jsonl(spark, str(tmp_path / "in.jsonl"), "char_count bigint, topic_tags array<string>, title string").orderBy("ord").collect()
+    assert [r["char_count"] for r in rows[:5]] == [600, 600, None, None, 5]
+    assert [r["topic_tags"] for r in rows[:5]] == [["x", "y", "z"], ["a", "1"], ["p", "q"], [], ['{"k": 1}']]
+    assert rows[0]["title"] == "7" and rows[3]["_line_number"] == 40 and [r["_parse_error"] is None for r in rows] == [True] * 5 + [False] * 3
+    assert [r["_extra"] and json.loads(r["_extra"]) for r in rows[2:5]] == [{"own": '[1,"b"]'}, None, {"own": "2", "old": "1"}]
+
+
 def test_sinks(spark, tmp_path):
     import sqlite3
 
@@ -190,3 +236,11 @@ def test_rest_of_the_library_runs_without_optional_parts():
     root = Path(__file__).resolve().parents[1]
     code = "import sys\nclass B:\n def find_spec(self, n, p=None, t=None):\n  if n.startswith('corpusloom.llm') or n == 'corpus_pipeline': raise ImportError(n)\nsys.meta_path.insert(0, B())\nimport __spark_entry__ as e\nassert not any(k.startswith('op') and k[2].isdigit() for k in e.queries()) and len(e.queries()) > 30"
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def test_word_lists():
+    """The lists that queries and their SQL share, against digests taken once from the documented lists."""
+    digest = lambda words: hashlib.sha256("\n".join(sorted(set(words))).encode()).hexdigest()[:16]
+    assert digest(scoring.GOOD_WORDS) == "dfec577956a4e72e" and digest(scoring.POOR_WORDS) == "61409e1e14d066af"
+    assert digest(urls.BLOCKED_EXTENSIONS) == "63cfb1db36e4bc80" and digest(filtering.VALUED) == "8743ffbf7c200dda"
+    assert digest(export.RISK_CATEGORIES) == "ba0252eb67ce2704" and digest(export.RISK_AUTHORITIES) == "868a9fadc480f228" and digest(export.CORE_DOMAINS) == "16fcb0f5fc336e3a"
