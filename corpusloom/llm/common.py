@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-import os
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.tables import shared_folder as shared_dir  # noqa: F401
+from ..plans.tables import written as materialise  # noqa: F401
+
 #: Words are runs of characters other than these six ASCII spaces.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -35,18 +35,3 @@ def parts_for(df: DataFrame, bytes_each: int, least: int = 8) -> int:
     if size is None:
         return max(least, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return max(least, math.ceil(size / bytes_each))
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset."""
-    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not conf:
-        conf = "file://" + os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints")
-    return f"{conf.rstrip('/')}/corpusloom"
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,13 +14,14 @@ from . import kernels as K
 
 def common_extension(prefix: K.Prefix, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
     """Length of the longest common prefix, at most ``limit``, of the suffixes at a and b."""
+    h, by_a, by_b = prefix.h, prefix.inverse[a], prefix.inverse[b]
+    shift = h[a] * by_a - h[b] * by_b  # of equal prefixes, the difference of the scaled hashes
     low, high = np.zeros(len(a), np.int64), np.full(len(a), limit, np.int64)
-    while True:
+    for _ in range(int(limit).bit_length()):
         middle = (low + high + 1) >> 1
-        if not (low < high).any():
-            return low
-        equal = prefix.slices(a, a + middle) == prefix.slices(b, b + middle)
+        equal = h[a + middle] * by_a - h[b + middle] * by_b == shift
         low, high = np.where(equal, middle, low), np.where(equal, high, middle - 1)
+    return low
 
 
 def compare(prefix: K.Prefix, values: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
@@ -46,6 +47,12 @@ def sort_suffixes(prefix: K.Prefix, values: np.ndarray, suffix: np.ndarray, grou
         right = (run & 1) == 1
         other = np.where(right, run - 1, run + 1) * width
         moves = np.flatnonzero(other < size)
+        if width == 1:  # pairs, compared once
+            left = moves[~right[moves]]
+            swap = left[compare(prefix, values, suffix[left], suffix[left + 1], limit) > 0]
+            order[swap], order[swap + 1] = swap + 1, swap
+            width = 2
+            continue
         low = (begin + other)[moves]
         high = np.minimum(low + width, (begin + size)[moves])
         base, mine, is_right = low.copy(), suffix[order[moves]], right[moves]
@@ -65,34 +72,18 @@ def sort_suffixes(prefix: K.Prefix, values: np.ndarray, suffix: np.ndarray, grou
     return order
 
 
-def equal_windows(units, window: np.ndarray, length: int, finger: np.ndarray) -> np.ndarray:
-    """A class number for each window of ``length`` units: equal windows share one. Verified on the bytes.
+def repeat_classes(units, window: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
+    """A class number for each window of ``length`` units: equal windows of a group share one.
 
-    ``finger`` buckets the windows; within a bucket they are sorted as suffixes, and neighbours of full
-    common extension are compared byte for byte, so that a hash collision can't join different texts.
+    Each group (``group`` is non-decreasing) is sorted as suffixes, which brings equal windows together; a
+    class is a run of neighbours whose common extension is the whole window. The bytes are compared as well, so
+    that a collision of hashes can't join different texts.
     """
-    prefix = units.prefix
-    order = np.argsort(finger, kind="stable")
-    at = window[order]
-    order = order[sort_suffixes(prefix, units.values, at, finger[order], length)]
+    order = sort_suffixes(units.prefix, units.values, window, group, length)
     a, b = window[order[:-1]], window[order[1:]]
-    same = (finger[order[1:]] == finger[order[:-1]]) & (common_extension(prefix, a, b, length) == length)
-    same[same] = same_bytes(units, a[same], b[same], length)
+    same = group[order[1:]] == group[order[:-1]]
+    same[same] = common_extension(units.prefix, a[same], b[same], length) == length
+    same[same] = units.same(a[same], b[same], length)
     out = np.empty(len(window), np.int64)
     out[order] = np.concatenate([[0], np.cumsum(~same)])
     return out
-
-
-def same_bytes(units, a: np.ndarray, b: np.ndarray, length, step: int = 1 << 15) -> np.ndarray:
-    """Whether the bytes of the windows at a and b, one by one, are equal. ``length``: of all or of each."""
-    begin_a, begin_b = units.begin(a), units.begin(b)
-    size_a, size_b = units.stop(a + length - 1) - begin_a, units.stop(b + length - 1) - begin_b
-    out = size_a == size_b
-    for s in range(0, len(a), step):
-        k = s + np.flatnonzero(out[s : s + step])
-        if not len(k):
-            continue
-        differ = units.data[K.ranges(begin_a[k], size_a[k])] != units.data[K.ranges(begin_b[k], size_b[k])]
-        owner = np.repeat(k, size_a[k])
-        out[owner[differ]] = False
-    return out
