@@ -15,8 +15,8 @@
 
 Defined cases: a document without words (or text) has an empty set and no links; one with fewer words
 than a shingle has its whole sequence as its one shingle; rows of equal id and text are copies of each
-other; a null id takes no part: its row comes back with a null component and is kept; an empty table
-gives an empty result; extra columns are ignored by :func:`near_duplicates` and kept by :func:`keep_one`.
+other; rows of equal id and other texts are versions of one document, which any of its texts links; a null
+id takes no part: its row comes back with a null component and is kept; an empty table gives an empty result; extra columns are ignored by :func:`near_duplicates` and kept by :func:`keep_one`.
 """
 
 from __future__ import annotations
@@ -110,22 +110,37 @@ def _squeeze(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([press.compress(view[s:e]) for s, e in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], ["id", "z"])
 
 
+CONFIRM_BYTES = 4 << 20
+
+
 def _confirm(width: int, percent: int):
-    """Keeps the pairs whose sets pass 100 |A & B| >= percent |A | B|."""
+    """Keeps the pairs whose sets pass 100 |A & B| >= percent |A | B|. A text is shingled once in a slice, however many pairs it has."""
+
+    def judge(left: list[bytes], right: list[bytes]) -> np.ndarray:
+        unpress = zstandard.ZstdDecompressor()
+        place: dict[bytes, int] = {}
+        a, b = (np.array([place.setdefault(z, len(place)) for z in side], np.int64) for side in (left, right))
+        texts = [unpress.decompress(z) for z in place]
+        sets, at = shingle_sets(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]), width)
+        size = np.diff(at)
+        # both sets of each pair under the pair's number: what is common occurs twice
+        key = [(np.repeat(np.arange(len(a), dtype=U64), size[x]) << U64(BITS)) | sets[K.ranges(at[x], size[x])] for x in (a, b)]
+        key = np.sort(np.concatenate(key))
+        common = np.bincount((key[1:][key[1:] == key[:-1]] >> U64(BITS)).astype(np.int64), minlength=len(a))
+        union = size[a] + size[b] - common
+        return (union > 0) & (100 * common >= percent * union)
 
     def run(batches):
         K.tame_memory()
-        unpress = zstandard.ZstdDecompressor()
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for r in range(batch.num_rows):
-                texts = [unpress.decompress(batch.column(c)[r].as_py()) for c in (2, 3)]
-                data = np.frombuffer(b"".join(texts), np.uint8)
-                sets, at = shingle_sets(data, np.array([0, len(texts[0]), len(data)]), width)
-                common = len(np.intersect1d(sets[: at[1]], sets[at[1] :], assume_unique=True))
-                union = len(sets) - common
-                keep[r] = union > 0 and 100 * common >= percent * union
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            weight = np.concatenate([[0], np.cumsum([4 * (len(x) + len(y)) for x, y in zip(left, right, strict=True)])])
+            keep, s = [np.zeros(0, bool)], 0
+            while s < len(left):
+                e = min(max(s + 1, int(np.searchsorted(weight, weight[s] + CONFIRM_BYTES, "right")) - 1), s + (1 << 12))
+                keep.append(judge(left[s:e], right[s:e]))
+                s = e
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(np.concatenate(keep)))
 
     return run
 
@@ -181,14 +196,14 @@ def _links(docs: DataFrame, width: int, percent: int, block: int):
     pairs = pairs.join(info.toDF("a", "na", "sa"), "a").join(info.toDF("b", "nb", "sb"), "b")
     first = materialise(_close(pairs, percent).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "minhash-first")
     involved = member.select(F.col("rep").alias("id")).distinct()
-    squeezed = docs.mapInArrow(_squeeze, "id long, z binary").join(involved, "id").dropDuplicates(["id"])
+    squeezed = docs.mapInArrow(_squeeze, "id long, z binary").join(involved, "id").dropDuplicates(["id", "z"])  # an id may come with several texts
     texts = materialise(squeezed, "minhash-texts")
 
     def confirm(x: DataFrame, label: str) -> DataFrame:
         x = x.join(texts.toDF("a", "za"), "a").join(texts.toDF("b", "zb"), "b").select("a", "b", "za", "zb")
-        return materialise(x.mapInArrow(_confirm(width, percent), "a long, b long"), label)
+        return materialise(x.mapInArrow(_confirm(width, percent), "a long, b long").distinct(), label)
 
-    links = confirm(first, "minhash-links")
+    links = confirm(first, "minhash-links").union(_versions(signs, reps))
     parts = connected_components(links, "minhash-1")
     # buckets that still hold several components: all pairs across them, in blocks
     placed = member.join(parts.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -207,6 +222,14 @@ def _links(docs: DataFrame, width: int, percent: int, block: int):
     return signs, reps, parts
 
 
+def _versions(signs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links between the representatives of the sets that one id has, where it comes with several texts."""
+    several = signs.where("n > 0").groupBy("id").agg(*[(F.min(c) != F.max(c)).alias(f"_{c}") for c in ("n", "f1", "f2")]).where("_n or _f1 or _f2").select("id")
+    found = signs.join(several, "id").select("id", "n", "f1", "f2").distinct().join(reps.select("n", "f1", "f2", "rep"), ["n", "f1", "f2"])
+    least = found.groupBy("id").agg(F.min("rep").alias("a"))
+    return found.join(least, "id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+
+
 SALTS = 16
 
 
@@ -224,8 +247,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of docs that stay: of each component the document of smallest id, once; rows without id stay."""
+    """The rows of docs that stay: of each component the document of smallest id, once; rows without id stay.
+
+    Of rows of that id with several texts, the one whose text sorts first stays.
+    """
     kept = near_duplicates(docs, width, percent, id_column=id_column, text_column=text_column).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
     key = F.col(f"`{id_column}`")
-    rows = docs.join(kept, docs[f"`{id_column}`"].cast("long") == kept["_kept_id"], "left_semi").dropDuplicates([id_column])
+    rows = docs.join(kept, docs[f"`{id_column}`"].cast("long") == kept["_kept_id"], "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = rows.groupBy(key.cast("long")).agg(F.min_by(whole, F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))).alias("_row")).select("_row.*")
     return rows.unionByName(docs.where(key.isNull()))
+
+
+#: DuckDB SQL of the query, with shingles of two words; ids are distinct.
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM d),
+docs AS (SELECT doc_id, coalesce(len(s), 0)::BIGINT AS n FROM sets),
+flat AS (SELECT doc_id, unnest(s) AS x FROM sets),
+rare AS (SELECT doc_id, flat.x, row_number() OVER (PARTITION BY doc_id ORDER BY c.k, flat.x) AS place FROM flat JOIN (SELECT x, count(*) AS k FROM flat GROUP BY x) c USING (x)),
+-- two sets of similarity 0.8 share one of the rarest fifth, and one more, of either
+heads AS (SELECT r.doc_id, r.x, docs.n FROM rare r JOIN docs USING (doc_id) WHERE r.place <= docs.n - ceil(0.8 * docs.n) + 1),
+near AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM heads a JOIN heads b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n),
+links AS (SELECT a, b FROM (SELECT near.a, near.b, len(list_intersect(x.s, y.s)) AS k, len(x.s) + len(y.s) AS t FROM near JOIN sets x ON x.doc_id = near.a JOIN sets y ON y.doc_id = near.b) WHERE 100 * k >= 80 * (t - k)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS id, doc_id AS c FROM docs UNION SELECT reach.id, both_ways.b FROM reach JOIN both_ways ON reach.c = both_ways.a)
+SELECT doc_id, n AS n_shingles, least AS component_id, doc_id = least AS kept FROM docs JOIN (SELECT id, min(c) AS least FROM reach GROUP BY id) ON id = doc_id
+"""
