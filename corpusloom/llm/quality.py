@@ -1,7 +1,7 @@
 """Quality classifier by positive-unlabelled learning (non-negative unbiased risk).
 
 The model never sees a labelled bad document as a negative. It learns from trusted positives (label 1),
-from unlabelled web text, and from the class prior, estimated as the share of label 1 among labelled
+from web text as it comes, whose labels aren't looked at, and from the class prior, estimated as the share of label 1 among labelled
 training rows. The unbiased risk of an unlabelled set, R = pi R_P+ + R_U- - pi R_P-, may fall below zero when a
 flexible model overfits; the non-negative form clips the part that estimates the negatives' risk and,
 where it is clipped, ascends on it.
@@ -11,8 +11,7 @@ repetition of words and lines. The network has one hidden layer and is fitted on
 most ``positives`` + ``unlabelled`` feature rows, those of smallest id hash; that bound is a parameter.
 
 Defined cases: a null or empty text gets features of an empty text and a score like any other; labels
-repeated for an id count as their minimum, null labels as unlabelled; without positives or unlabelled
-rows every score is 0.5; repeated rows are scored alike; a null id counts as held out; an empty table
+repeated for an id count as their minimum, null labels as none; without a positive every score is 0.5; repeated rows are scored alike; a null id counts as held out; an empty table
 gives an empty result; extra columns are ignored by :func:`score_quality` and kept by :func:`keep_good`.
 """
 
@@ -135,6 +134,26 @@ def risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
     return float(prior * (1 - positive).mean() + max(0.0, unlabelled.mean() - prior * positive.mean()))
 
 
+def gradient(p: list[np.ndarray], positive: np.ndarray, unlabelled: np.ndarray, prior: float, decay: float = 1e-4) -> tuple[float, list[np.ndarray]]:
+    """The part of the risk that a step descends on, and its gradient by the network's four parameters.
+
+    That part is pi R_P+ + (R_U- - pi R_P-) while the bracket, the negatives' risk, isn't below zero, and else
+    minus the bracket: the step ascends on it. Both with the parameters' decay.
+    """
+    x = np.concatenate([positive, unlabelled])
+    hid = np.tanh(x @ p[0] + p[1])
+    s = 1 / (1 + np.exp(-np.clip(hid @ p[2] + p[3][0], -30, 30)))
+    sp, su = s[: len(positive)], s[len(positive) :]
+    negative = su.mean() - prior * sp.mean()
+    plus = np.concatenate([-prior * sp * (1 - sp) / len(sp), np.zeros(len(su))])  # d(pi R_P+)/dz
+    minus = np.concatenate([-prior * sp * (1 - sp) / len(sp), su * (1 - su) / len(su)])  # d(R_U- - pi R_P-)/dz
+    grad = plus + minus if negative >= 0 else -minus
+    value = prior * (1 - sp).mean() + negative if negative >= 0 else -negative
+    back = grad[:, None] * p[2] * (1 - hid**2)
+    value += decay / 2 * float((p[0] ** 2).sum() + (p[2] ** 2).sum())
+    return float(value), [x.T @ back + decay * p[0], back.sum(0), hid.T @ grad + decay * p[2], np.array([grad.sum()])]
+
+
 def _fit_once(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 16, epochs: int = 80, batch: int = 1024, rate: float = 0.01, seed: int = 11) -> Network:
     """Minimise the non-negative risk with Adam and the sigmoid loss, whose bound keeps the clipping from noise."""
     rng = np.random.default_rng(seed)
@@ -143,23 +162,12 @@ def _fit_once(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden
     xp, xu = (np.clip((x - mean) / scale, -8, 8).astype(float) for x in (positive, unlabelled))
     p = [rng.standard_normal((xp.shape[1], hidden)) / xp.shape[1] ** 0.5, np.zeros(hidden), rng.standard_normal(hidden) / hidden**0.5, np.zeros(1)]
     m, v, t = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     steps = max(1, max(len(xp), len(xu)) // batch)
     for epoch in range(epochs):
         lr = rate * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
         for _ in range(steps):
             bp, bu = xp[rng.integers(0, len(xp), min(batch, len(xp)))], xu[rng.integers(0, len(xu), min(batch, len(xu)))]
-            x = np.concatenate([bp, bu])
-            hid = np.tanh(x @ p[0] + p[1])
-            z = hid @ p[2] + p[3][0]
-            zp, zu = z[: len(bp)], z[len(bp) :]
-            sp, su = sigmoid(zp), sigmoid(zu)
-            negative = su.mean() - prior * sp.mean()
-            plus = np.concatenate([-prior * sp * (1 - sp) / len(bp), np.zeros(len(bu))])  # d(pi R_P+)/dz
-            minus = np.concatenate([-prior * sp * (1 - sp) / len(bp), su * (1 - su) / len(bu)])  # d(R_U- - pi R_P-)/dz
-            grad = plus + minus if negative >= 0 else -minus
-            back = grad[:, None] * p[2] * (1 - hid**2)
-            g = [x.T @ back + 1e-4 * p[0], back.sum(0), hid.T @ grad + 1e-4 * p[2], np.array([grad.sum()])]
+            g = gradient(p, bp, bu, prior)[1]
             t += 1
             for i in range(4):
                 m[i] = 0.9 * m[i] + 0.1 * g[i]
@@ -210,7 +218,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, positives: int = 6000, unl
     prior = min(max(counts[1] / counts[0], 0.05), 0.98)
     ids = docs.select(F.col(id_column).cast("long").alias("id")).where("id is not null").distinct()
     good = ids.join(train.where("y = 1"), "id", "left_semi").orderBy(*order).limit(positives)
-    plain = ids.join(marks, "id", "left_anti").orderBy(*order).limit(unlabelled)
+    plain = ids.orderBy(*order).limit(unlabelled)  # the text as it comes: labels play no part
     rows = [_sampled_features(docs, x, id_column, text_column) for x in (good, plain)]
     if not len(rows[0]) or not len(rows[1]):
         return None
