@@ -59,4 +59,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_sharding": sharding.shard_sql(), "op10_mixing": mixing.MIX_SQL}
+    exact = {"op2_suffix_dedup": suffix_dedup.SUFFIX_SQL, "op3_minhash": minhash.NEAR_SQL, "op7_substring_dedup": substring_dedup.SUBSTRING_SQL}
+    return exact | {"op5_sharding": sharding.shard_sql(), "op10_mixing": mixing.MIX_SQL}

@@ -6,8 +6,9 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from corpusloom.llm import ann, decontaminate, kernels, minhash, mixing, sharding, substring_dedup, suffix_dedup, suffixes
+from corpusloom.llm import ann, chunks, decontaminate, kernels, minhash, mixing, sharding, substring_dedup, suffix_dedup, suffixes, windowdup
 from corpusloom.llm import queries as Q
 from corpusloom.llm.components import connected_components
 
@@ -42,13 +43,41 @@ def corpus(seed=0, docs=60):
     return rows
 
 
-@pytest.mark.parametrize("size", [50, 8])
-def test_suffix_dedup(spark, size):
+@pytest.mark.parametrize(("size", "crowd"), [(50, 4096), (8, 4096), (50, 2), (8, 1)])
+def test_suffix_dedup(spark, size, crowd):
     rows = corpus(1)
-    found = suffix_dedup.suffix_dedup(frame(spark, rows), size).collect()
+    found = suffix_dedup.suffix_dedup(frame(spark, rows), size, crowd=crowd).collect()
     assert sorted(map(tuple, found)) == sorted(brute.suffix_dedup(rows, size))
 
 
+def test_the_order_of_the_suffix_sort_decides(monkeypatch):
+    """Repeats are read off neighbours: with a comparator that lies, equal windows are missed."""
+    rng = np.random.default_rng(21)
+    values = rng.integers(0, 2, 3000).astype(np.uint64)
+    units = windowdup.Units(values, np.array([0, 3000]), values.astype(np.uint8))
+    window, group = np.arange(2000), np.zeros(2000, np.int64)
+    count = lambda: len(np.unique(suffixes.repeat_classes(units, window, group, 12)))
+    truth = len({tuple(values[i : i + 12]) for i in window})
+    assert count() == truth
+    monkeypatch.setattr(suffixes, "compare", lambda prefix, values, a, b, limit: np.where(a < b, -1, 1))  # by place, not by content
+    assert count() > truth
+
+
+def test_sorted_keys_round_trip():
+    rng = np.random.default_rng(22)
+    for n, bits in ((1, 48), (2, 48), (5, 3), (300, 48), (5000, 30), (70_000, 48), (9, 0)):
+        keys = np.sort(rng.integers(0, 1 << bits, n).astype(np.uint64))
+        assert (chunks.unpack_sorted(chunks.pack_sorted(keys)) == keys).all() and chunks.packed_count(chunks.pack_sorted(keys)) == n
+
+
+def test_chunks_and_buckets_grow_with_the_root_of_the_input(monkeypatch):
+    for size in (10**9, 3 * 10**10, 10**12, 10**14):
+        monkeypatch.setattr(chunks, "size_in_bytes", lambda docs, size=size: size)
+        s = chunks.sizes(None)
+        assert s.chunk <= 64 << 20 and size / s.parts <= 256 << 20
+        assert s.chunk * 0.076 / s.buckets > 10  # keys a row
+
+
 def test_suffix_dedup_repeated_ids_and_empty_table(spark):
     text = "the quick brown fox jumps over the lazy dog and runs away from it"
     rows = [(3, text), (3, text), (4, text), (None, None)]
@@ -63,25 +92,68 @@ def test_kept_texts(spark):
     assert {r["doc_id"]: bytes(r["kept"]) for r in out.collect()} == {1: text.encode(), 2: b"new "}
 
 
-@pytest.mark.parametrize("seed", [2, 3])
-def test_substring_dedup(spark, seed):
+@pytest.mark.parametrize(("seed", "size", "crowd"), [(2, 35, 4096), (3, 35, 1), (3, 5, 4096), (2, 90, 2), (3, 1, 4096)])
+def test_substring_dedup(spark, seed, size, crowd):
     rows = corpus(seed)
-    found = substring_dedup.substring_dedup(frame(spark, rows)).collect()
-    assert sorted(map(tuple, found)) == sorted(brute.substring_dedup(rows, 35))
+    found = substring_dedup.substring_dedup(frame(spark, rows), size, crowd=crowd).collect()
+    assert sorted(map(tuple, found)) == sorted(brute.substring_dedup(rows, size))
+
+
+def anchors_in(units, rounds, shared=None):
+    """Each window's anchor, -1 for none, and the key of each anchor."""
+    first, count, lead, key = substring_dedup.symbol_anchors(35, rounds)(units, shared)
+    anchor, at = np.full(len(units.values), -1), np.zeros(len(units.values), np.uint64)
+    anchor[kernels.ranges(first, count)] = np.repeat(first + lead, count)
+    at[first + lead] = key
+    return anchor, at
+
+
+def test_words_with_one_hash_stay_apart(monkeypatch):
+    monkeypatch.setattr(kernels, "word_hashes", lambda data, start, end: (end - start).astype(np.uint64))
+    text = b"ab cd ab x y x abc"
+    word, sizes, table, docs = substring_dedup.word_table(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    begin = np.cumsum(sizes) - sizes
+    assert [bytes(table[begin[w] : begin[w] + sizes[w]]) for w in word] == [x + b" " for x in text.split()] and list(docs) == [0, 7]
+
+
+def symbols_in(units, first, size, rounds):
+    """Symbols of the last round as (offset in the window, words, name), if their start lies in the window."""
+    names, starts, sizes, _ = substring_dedup.recompress(units, rounds)[-1]
+    return {(int(s) - first, int(z), int(n)) for n, s, z in zip(names, starts, sizes, strict=True) if 0 <= s - first < size}
 
 
-def test_substring_dedup_finds_every_repeat_of_random_binary_words():
-    """Anchors are chosen alike wherever a window occurs: the recompression margin holds."""
+@pytest.mark.parametrize("letters", ["aab", "abc", "abcdefgh"])
+def test_recompression_names_the_middle_of_a_window_alike(letters):
+    """Equal windows have equal symbols but for the stated margin, and anchors at equal places with equal keys."""
     rng = np.random.default_rng(4)
-    for _ in range(60):
-        window = " ".join(rng.choice(["a", "b", "a", "c"], 35))
-        contexts = [" ".join(rng.choice(["a", "b", "c"], n)) for n in rng.integers(1, 30, 4)]
+    rounds = substring_dedup.rounds_for(35)
+    assert rounds == (("run", 2), ("pair", 4), ("pair", 8))
+    lost, _ = substring_dedup.margins(rounds)[-1]
+    for _ in range(150):
+        window = " ".join(rng.choice([*letters], 35))
+        contexts = [" ".join(rng.choice([*letters], n)) for n in rng.integers(1, 30, 4)]
         text = f"{contexts[0]} {window} {contexts[1]}\0{contexts[2]} {window} {contexts[3]}".split("\0")
         data = np.frombuffer("".join(text).encode(), np.uint8)
         units = substring_dedup.word_units(data, np.array([0, len(text[0]), len(data)]))
-        anchor, key = substring_dedup.symbol_anchors(35)(units)
+        anchor, key = anchors_in(units, rounds)
         a, b = len(contexts[0].split()), int(units.offsets[1]) + len(contexts[2].split())
         assert anchor[a] - a == anchor[b] - b and key[anchor[a]] == key[anchor[b]]
+        inside = [{x for x in symbols_in(units, at, 35, rounds) if x[0] >= lost and x[0] + x[1] <= 35 - lost} for at in (a, b)]
+        assert inside[0] == inside[1] and max(z for _, z, _ in inside[0]) <= 8
+
+
+def test_lone_symbols_drop_only_windows_that_occur_once():
+    rng = np.random.default_rng(23)
+    rounds = substring_dedup.rounds_for(35)
+    for _ in range(20):
+        shared = " ".join(f"w{x}" for x in rng.integers(0, 30, 60))
+        texts = [f"{' '.join(f'u{x}' for x in rng.integers(0, 10**9, 40))} {shared} {' '.join(f'u{x}' for x in rng.integers(0, 10**9, 40))}" for _ in range(2)]
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        units = substring_dedup.word_units(data, np.array([0, len(texts[0]), len(data)]))
+        names = substring_dedup.lower_names(rounds)(units)
+        twice = np.isin(names, [n for n, c in zip(*np.unique(names, return_counts=True), strict=True) if c > 1])
+        anchor, _ = anchors_in(units, rounds, twice)
+        assert (anchor[40 : 40 + 26] >= 0).all() and (anchor[180 : 180 + 26] >= 0).all() and (anchor >= 0).sum() < 105
 
 
 def test_suffix_sort_orders_suffixes():
@@ -152,6 +224,18 @@ def test_keep_one(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_an_id_with_several_texts_loses_no_link(spark):
+    """Rows of one id are versions of one document: each text's links count, and one row of the id stays."""
+    words = [f"w{i}" for i in range(90)]
+    a, b = " ".join(words[:40]), " ".join(words[45:85])
+    rows = [(1, a), (1, b), (2, a), (3, b), (4, a + " x"), (5, b + " y"), (6, "else where"), (8, "p q r s t u v w"), (7, "p q r s t u v w"), (8, "k l m n o"), (9, "k l m n o")]
+    for order in (rows, rows[::-1]):
+        found = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(frame(spark, order), 2).collect()}
+        assert found == {(i, len(brute.shingles(t, 2)), 1 if i < 6 else 6 if i == 6 else 7) for i, t in rows}
+        kept = sorted((r["doc_id"], r["text"]) for r in minhash.keep_one(frame(spark, order), 2).collect())
+        assert kept == [(1, a), (6, "else where"), (7, "p q r s t u v w")]
+
+
 def test_myers():
     rng = random.Random(7)
     for _ in range(150):
@@ -281,10 +365,76 @@ def test_neighbours(spark):
         s[q] = -9
         found += len(set(np.lexsort((np.arange(900), -s))[:20]) & set(part.vec_id))
     assert found / (45 * 20) >= 0.9
+    plain = frame.select("vec_id", "embedding", *[F.lit(1).alias(c) for c in ("part", "cells", "salt", "t", "cell", "query", "score", "rank")])
+    assert sorted(map(tuple, ann.nearest(plain).collect())) == sorted(got.itertuples(index=False, name=None))
     few = ann.nearest(frame.where("vec_id < 5")).toPandas()
     assert len(few) == 4 and ann.nearest(frame.limit(0)).count() == 0
 
 
+def recall_and_share(x, queries, neighbours=20):
+    """Of an index fitted on x: the share of true neighbours in visited cells, and of all rows."""
+    index = ann.fit([list(v) for v in x[np.random.default_rng(1).permutation(len(x))[:2000]]], len(x), neighbours)
+    own = index.cells(x)
+    who, table, cell = index.visits(x[queries])
+    scores = x[queries] @ x.T
+    scores[np.arange(len(queries)), queries] = -9
+    found, compared = [], []
+    for i in range(len(queries)):
+        seen = np.any([np.isin(own[t], cell[(who == i) & (table == t)]) for t in range(len(own))], axis=0)
+        found.append(seen[np.argpartition(-scores[i], neighbours)[:neighbours]].mean())
+        compared.append(seen.mean())
+    return np.mean(found), np.mean(compared)
+
+
+def test_clustered_vectors_are_found_in_a_small_share_of_rows():
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((300, 64))
+    x = centres[rng.integers(0, 300, 20_000)] + 0.25 * rng.standard_normal((20_000, 64))
+    recall, share = recall_and_share(x / np.linalg.norm(x, axis=1, keepdims=True), np.arange(0, 20_000, 200))
+    assert recall >= 0.9 and share <= 0.2
+
+
+def test_plain_vectors_keep_their_recall():
+    x = np.random.default_rng(4).standard_normal((20_000, 64))
+    recall, share = recall_and_share(x / np.linalg.norm(x, axis=1, keepdims=True), np.arange(0, 20_000, 200))
+    assert recall >= 0.9 and share <= 0.85
+
+
+def test_short_queries_are_compared_with_all_rows(spark):
+    """Every query gets all candidates, or 20, also where its cells hold fewer; ties go to the smaller id."""
+    rng = np.random.default_rng(12)
+    for n in (12, 21, 40):
+        x = np.float32(rng.standard_normal((n, 8)))
+        x[n // 2 :] *= 0.01  # short vectors lie far from all queries
+        got = ann.nearest(spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")).toPandas()
+        for q in range(0, n, 20):
+            part = got[got.query_id == q].sort_values("rank")
+            assert len(part) == min(20, n - 1)
+            if n <= 21:
+                s = x.astype(float) @ x[q].astype(float)
+                assert list(part.vec_id) == [i for i in np.lexsort((np.arange(n), -s)) if i != q]
+
+
+@pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
+def test_query_equals_its_sql(spark, sf, name):
+    out = Q.queries()[name](spark, sf)
+    with duckdb.connect() as db:
+        db.execute(f"create view documents as select * from read_parquet('{sf}/documents.parquet')")
+        wanted = db.execute(Q.oracle_sql()[name])
+        names = [c[0] for c in wanted.description]
+        assert set(names) <= set(out.columns)
+        assert sorted(map(str, wanted.fetchall())) == sorted(str(tuple(r)) for r in out.select(names).collect())
+
+
+@pytest.mark.parametrize(("sql", "plain"), [(suffix_dedup.SUFFIX_SQL, lambda rows: brute.suffix_dedup(rows, 50)), (substring_dedup.SUBSTRING_SQL, lambda rows: brute.substring_dedup(rows, 35)), (minhash.NEAR_SQL, lambda rows: brute.near_duplicates(rows, 2, 80))])
+def test_sql_equals_brute_force(sql, plain):
+    rows = [(i, t) for i, t in corpus(11) if t is None or len(t) < 4000]
+    with duckdb.connect() as db:
+        db.execute("create table documents (doc_id bigint, text varchar)")
+        db.executemany("insert into documents values (?, ?)", rows)
+        assert sorted(db.execute(sql).fetchall()) == sorted(plain(rows))
+
+
 def test_queries_are_registered():
     names = Q.queries()
     assert [sum(k.startswith(f"op{n}_") for k in names) for n in range(1, 11)] == [1] * 10

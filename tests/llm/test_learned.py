@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpusloom.llm import decontaminate, langid, minhash, mixing, quality, sharding, toxicity
@@ -77,6 +78,47 @@ def test_risk_never_uses_negatives():
     assert (model.score(rng.normal(-1.5, 1, (500, 5))) < 0.5).mean() > 0.9
 
 
+@pytest.mark.parametrize("prior", [0.3, 1.2])  # no prior exceeds 1, but this one surely clips
+def test_gradient_is_that_of_the_risk(prior):
+    """Finite differences of the non-negative risk, where its bracket is positive and where it is clipped."""
+    rng = np.random.default_rng(8)
+    positive, unlabelled = rng.normal(0.5, 1, (12, 4)), rng.normal(0, 1, (15, 4))
+    p = [rng.normal(0, 0.6, (4, 3)), rng.normal(0, 0.3, 3), rng.normal(0, 0.8, 3), rng.normal(0, 0.3, 1)]
+
+    def score(p, x):
+        return 1 / (1 + np.exp(-(np.tanh(x @ p[0] + p[1]) @ p[2] + p[3][0])))
+
+    def plain(p):
+        bracket = score(p, unlabelled).mean() - prior * score(p, positive).mean()
+        decay = 0.5e-4 * ((p[0] ** 2).sum() + (p[2] ** 2).sum())
+        return (prior * (1 - score(p, positive)).mean() + bracket if bracket >= 0 else -bracket) + decay, bracket
+
+    value, found = quality.gradient(p, positive, unlabelled, prior)
+    assert value == pytest.approx(plain(p)[0]) and (plain(p)[1] < 0) == (prior == 1.2)
+    for i, part in enumerate(p):
+        for at in np.ndindex(part.shape):
+            step = [a.copy() for a in p]
+            step[i][at] += 1e-6
+            up = plain(step)[0]
+            step[i][at] -= 2e-6
+            assert found[i][at] == pytest.approx((up - plain(step)[0]) / 2e-6, abs=1e-6)
+    risk = prior * (1 - score(p, positive)).mean() + max(0, plain(p)[1])
+    assert quality.risk(score(p, positive), score(p, unlabelled), prior) == pytest.approx(risk)
+
+
+def test_quality_of_fully_labelled_documents_and_untouched_held_out_labels(spark):
+    """A model is fitted where every document has a label, and held-out labels change nothing."""
+    docs, labels = labelled(spark, 250, 7)
+    first = quality.train_quality(docs, labels)
+    every = docs.select("doc_id").where("doc_id is not null").distinct().selectExpr("doc_id", "1 as quality")
+    held = [r[0] for r in every.select("doc_id").collect() if zlib.crc32(str(r[0]).encode()) % 3 == 1]
+    turned = labels.where(~labels.doc_id.isin(held)).unionByName(spark.createDataFrame([(i, 0, 0) for i in held], labels.schema))
+    again = quality.train_quality(docs, turned)
+    assert all(np.array_equal(a, b) for a, b in zip(vars(first).values(), vars(again).values(), strict=True))
+    model = quality.train_quality(docs, labels.select("doc_id", "quality").unionByName(every.join(labels, "doc_id", "left_anti")))
+    assert model is not None and len({r["score"] for r in quality.score_quality(docs, model).collect()}) > 50
+
+
 def test_toxicity(spark):
     docs, labels = labelled(spark, 600, 1)
     machine = toxicity.train_toxicity(docs, labels)
@@ -118,7 +160,7 @@ def languages(n=160, seed=2):
 def test_language(spark):
     rows, word = languages()
     odd = [(500, None, "aa"), (501, "", "aa"), (502, "123 !?", "aa"), (503, "—…", None), (None, "the whing", "aa"), (504, "the " * 5000, None)]
-    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string").withColumn("score", 1 * rows[0][0] + __import__("pyspark").sql.functions.col("doc_id"))
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string").withColumn("score", 1 * rows[0][0] + F.col("doc_id"))
     tagger = langid.train_tagger(docs)
     found = {r["doc_id"]: r for r in langid.label_language(docs, tagger).collect()}
     assert len(found) == len(rows) + len(odd)
@@ -151,6 +193,32 @@ def test_forward_backward_is_exact():
     assert log_z == pytest.approx(total) and edges.sum() == pytest.approx(5)
 
 
+CLASH = ["size", "target", "_k", "_kept_id", "kept", "component", "score", "_times", "_row", "n", "slot_", "words"]
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_take_odd_tables(spark, tmp_path, number):
+    """Each stage: an empty table, nulls in every column, a very long text, repeated rows, ties and clashing names."""
+    docs, labels = labelled(spark, 120, 9)
+    for name, table in (("labels", labels), ("benchmark", spark.createDataFrame([(0, "a phrase of the benchmark that is nowhere else"), (1, None), (None, "")], "item_id long, text string"))):
+        table.write.parquet(str(tmp_path / f"{name}.parquet"))
+    stage = corpus_pipeline.STAGES[number][1]
+    odd = [(5000, "word " * 200_000, "en", "s1", 1_000_000), (5001, "tie", "en", None, 3), (5002, "tie", None, "s2", 3), (None, None, None, None, None), (5003, "", "", "", 0), (5003, "", "", "", 0)]
+    rows = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    rows = rows.select("*", *[F.lit(7).alias(c) for c in CLASH])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = stage(spark, rows, str(tmp_path))
+    assert out.columns[: len(rows.columns)] == rows.columns
+    got = out.collect()
+    assert got and all(r[c] == 7 for r in got for c in CLASH)
+    texts = {(r["doc_id"], r["text"]) for r in rows.select("doc_id", "text").collect()}
+    assert {(r["doc_id"], r["text"]) for r in got} <= texts
+    if number in (1, 2, 4):  # these drop nothing of the odd rows but copies
+        assert any(r["doc_id"] == 5000 and len(r["text"]) == 1_000_000 for r in got) and any(r["doc_id"] is None for r in got)
+    empty = stage(spark, rows.limit(0), str(tmp_path))
+    assert empty.columns[: len(rows.columns)] == rows.columns and empty.count() == 0
+
+
 def test_pipeline(spark, tmp_path):
     docs, labels = labelled(spark, 300, 5)
     rng = random.Random(6)
