@@ -34,7 +34,9 @@ def run_crawl(spark, a) -> None:
     if not a.live and not a.pages:
         raise SystemExit("crawl needs --pages or --live")
     pages = remote.fetched(a.delay) if a.live else spark.read.parquet(a.pages)
+    sources = written(sources, "crawl-seeds")
     site, found, dropped = crawl.crawl_site(sources.where("family = 'html_crawl'"), pages)
+    found, dropped = written(found, "crawl-found"), written(dropped, "crawl-dropped")
     single = remote.source_records(sources.where("coalesce(family, '') <> 'html_crawl'"), pages, a.github_extensions.split(","), a.github_max_files)
     both = site.unionByName(single.withColumn("place", F.coalesce("place", F.lit(0).cast("long"))), allowMissingColumns=True)
     records = written(_with_seed(both.drop("seed_url"), sources), "crawl-records")

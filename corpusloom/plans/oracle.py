@@ -142,8 +142,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, CASE WHEN n = 0 THEN 'empty_content' ELSE 'doc_too_short' END AS reason, CAST(CASE WHEN n > 0 THEN n END AS INT) AS char_count FROM sized WHERE n < 500""",
         "part_packing": f"WITH RECURSIVE {CHUNKS_CTE}, {block_parts}" + f""", s AS MATERIALIZED (SELECT library, ord, row_number() OVER (PARTITION BY library ORDER BY ord) AS rn, octet_length(encode({block_text})) + 1 AS size FROM b WHERE library IS NOT NULL),
             c AS (SELECT *, sum(size) OVER (PARTITION BY library ORDER BY rn) AS upto FROM s),
-            leap AS MATERIALIZED (SELECT a.library, a.rn, coalesce(greatest(a.rn + 1, z.rn), 1000000000) AS nxt FROM (SELECT *, upto - size + 200000 AS most FROM c) a ASOF LEFT JOIN c z ON z.library = a.library AND a.most < z.upto),
-            starts AS (SELECT library, 1::BIGINT AS rn, 1::BIGINT AS part FROM s GROUP BY library UNION ALL SELECT l.library, l.nxt, starts.part + 1 FROM starts JOIN leap l ON l.library = starts.library AND l.rn = starts.rn WHERE l.nxt < 1000000000)
+            leap AS MATERIALIZED (SELECT library, rn, rn + count(*) OVER (PARTITION BY library ORDER BY upto RANGE BETWEEN CURRENT ROW AND greatest(0, 200000 - size) FOLLOWING) AS nxt FROM c),
+            starts AS (SELECT library, 1::BIGINT AS rn, 1::BIGINT AS part FROM s GROUP BY library UNION ALL SELECT l.library, l.nxt, starts.part + 1 FROM starts JOIN leap l ON l.library = starts.library AND l.rn = starts.rn)
             SELECT s.library, s.ord, max(starts.part) AS part FROM s JOIN starts ON starts.library = s.library AND starts.rn <= s.rn GROUP BY s.library, s.ord""",
         "hard_filter_reasons": f"WITH {records_cte()} SELECT doc_id, coalesce({HARD}, 'kept') AS reason, {EFFECTIVE} AS effective_char_count FROM records",
         "url_dedup_keep_best": _ready("records_recrawl") + f" SELECT doc_id, eu AS effective_url, CASE WHEN row_number() OVER w = 1 THEN 'kept' ELSE 'duplicate_url' END AS decision, first_value(doc_id) OVER w AS kept_doc_id FROM ready WINDOW w AS (PARTITION BY eu ORDER BY {BEST})",
