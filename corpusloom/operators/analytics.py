@@ -97,24 +97,29 @@ def crawl_summary(records: DataFrame) -> DataFrame:
     return flat.unionByName(records.select(spread.alias("p")).groupBy("p.section", "p.key").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _counts(rows: DataFrame, section: str, key: Column) -> DataFrame:
-    return rows.select(F.lit(section).alias("section"), F.coalesce(key.cast("string"), F.lit("")).alias("key")).groupBy("section", "key").agg(F.count(F.lit(1)).alias("n"))
+def _tally(rows: DataFrame, entries: Column) -> DataFrame:
+    """``section, key, n`` of the (section, key) structs that each row counts towards, in one pass."""
+    return rows.select(F.explode(entries).alias("x")).groupBy("x.section", "x.key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _entry(section: str, key: Column) -> Column:
+    return F.struct(F.lit(section).alias("section"), F.coalesce(key.cast("string"), F.lit("")).alias("key"))
 
 
 def discovery_summary(records: DataFrame, discovered: DataFrame, rejected: DataFrame) -> DataFrame:
     """``section, key, n`` of site crawls: records by depth, pages by quality flag, links by outcome and reason."""
-    out = _counts(records.where("discovery_depth is not null"), "discovery_depth_records", F.col("discovery_depth"))
-    out = out.unionByName(_counts(records.select(F.explode("content_quality_flags").alias("flag")), "content_quality_flags", F.col("flag")))
-    out = out.unionByName(_counts(rejected, "rejected_link_reasons", F.col("reason")))
-    return out.unionByName(_counts(discovered, "links", F.lit("accepted"))).unionByName(_counts(rejected, "links", F.lit("rejected")))
+    flags = F.coalesce("content_quality_flags", F.array().cast("array<string>"))
+    depth = F.filter(F.array(F.when(F.col("discovery_depth").isNotNull(), _entry("discovery_depth_records", F.col("discovery_depth")))), lambda x: x.isNotNull())
+    out = _tally(records, F.concat(depth, F.transform(flags, lambda f: _entry("content_quality_flags", f))))
+    out = out.unionByName(_tally(rejected, F.array(_entry("rejected_link_reasons", F.col("reason")), _entry("links", F.lit("rejected")))))
+    return out.unionByName(_tally(discovered, F.array(_entry("links", F.lit("accepted")))))
 
 
 def seed_summary(selected: DataFrame, disabled: DataFrame) -> DataFrame:
     """``section, key, n`` of a dry run: how many seeds, and the selected by priority, type and coin."""
-    out = _counts(selected, "totals", F.lit("selected_sources")).unionByName(_counts(disabled, "totals", F.lit("disabled_sources_skipped")))
-    for field in ("source_priority", "crawl_type", "coin"):
-        out = out.unionByName(_counts(selected, f"selected_by_{field}", F.col(field)))
-    return out
+    fields = [_entry(f"selected_by_{c}", F.col(c)) for c in ("source_priority", "crawl_type", "coin")]
+    out = _tally(selected, F.array(_entry("totals", F.lit("selected_sources")), *fields))
+    return out.unionByName(_tally(disabled, F.array(_entry("totals", F.lit("disabled_sources_skipped")))))
 
 
 def cap_stats(decided: DataFrame, caps: Sequence[tuple[str, int, str]]) -> DataFrame:

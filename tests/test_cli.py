@@ -73,7 +73,7 @@ def test_crawl_of_every_family_with_own_settings(spark, tmp_path):
     seeds = [
         {"id": "repo", "type": "github_repo", "url": "https://github.com/o/r", "extensions": [".md"], "max_files": 3, "coin": "BTC", "topic_tags": "k; l"}, {"id": "norepo", "type": "github_repo", "url": "https://org.test/"},
         {"id": "file", "type": "github_markdown", "url": "https://github.com/o/r/blob/main/doc/x.md"}, {"id": "paper", "type": "pdf", "url": "https://p.test/f.pdf", "name": "Paper"}, {"id": "gone", "type": "pdf", "url": "https://p.test/none.pdf"},
-        {"id": "site", **crawl}, {"id": "strict", **crawl, "min_link_score": 0.62, "path_prefix": "/docs"}, {"id": "own", **crawl, "deny_extensions": "plain", "link_score_keywords": ["plain"], "follow_low_quality_pages": True},
+        {"id": "site", **crawl}, {"id": "strict", **crawl, "min_link_score": 0.62, "path_prefix": "/docs"}, {"id": "own", **crawl, "deny_extensions": "bin", "link_score_keywords": ["plain"], "follow_low_quality_pages": True},
         {"id": "off", "type": "html", "url": "https://org.test/", "crawl_enabled": False},
     ]
     (tmp_path / "seeds.json").write_text(json.dumps({"sources": [*seeds, "no seed"]}))
@@ -88,8 +88,8 @@ def test_crawl_of_every_family_with_own_settings(spark, tmp_path):
     assert [(r["title"], r["content"]) for r in by["norepo"]] == [("Org", "Org\nhello")] and by["file"][0]["url"] == "https://github.com/o/r/blob/main/doc/x.md"
     assert by["paper"][0]["status"] == "partial" and by["paper"][0]["title"] == "Paper" and by["gone"][0]["status"] == "failed"
     pages_of = lambda name: {r["url"].removeprefix("https://s.test") for r in by[name]}
-    assert {"/", "/docs/api"} <= pages_of("site")
-    assert pages_of("strict") == {"/", "/docs/api"} and "/plain" not in pages_of("own") and "off" not in by
+    assert {"/", "/docs/api", "/x/wallet.bin"} <= pages_of("site") and "/plain" not in pages_of("site")
+    assert pages_of("strict") == {"/", "/docs/api"} and pages_of("own") == {"/", "/docs/api", "/plain"} and "off" not in by
     assert all(r["crawl_time"] and r["char_count"] == len(r["content"]) for r in rows)
     with sqlite3.connect(tmp_path / "db.sqlite") as db:
         assert db.execute("select count(*) from documents").fetchone()[0] == len(rows)
