@@ -86,16 +86,20 @@ def metadata(columns: list[str]) -> dict[str, Column]:
     return out
 
 
-def embedding_text(text: Column) -> Column:
-    """A header of metadata lines, without those that end in a colon, a blank line, and the text."""
+def embedding_header() -> Column:
+    """Metadata lines, without those that end in a colon."""
     said = [
         F.concat(F.lit("Title: "), F.col("title")),
         F.concat(F.lit("Coin: "), F.col("coin"), F.lit("; Chain: "), F.col("chain"), F.lit("; Domain: "), F.col("knowledge_domain"), F.lit("; Category: "), F.col("knowledge_category")),
         F.concat(F.lit("Source: "), F.col("source_name"), F.lit("; URL: "), F.col("url")),
         F.when(F.size("topic_tags") > 0, F.concat(F.lit("Topic Tags: "), F.array_join("topic_tags", ", "))),
     ]
-    said = [F.when(~strip(s).endswith(":"), strip(s)) for s in said]
-    return strip(F.concat(F.concat_ws("\n", *said), F.lit("\n\n"), text))
+    return F.concat_ws("\n", *[F.when(~strip(s).endswith(":"), strip(s)) for s in said])
+
+
+def embedding_text(text: Column) -> Column:
+    """The header, a blank line and the text of a chunk, stripped."""
+    return strip(F.concat(embedding_header(), F.lit("\n\n"), text))
 
 
 def chunk_documents(records: DataFrame, config: ChunkConfig = ChunkConfig(), once: bool = False) -> tuple[DataFrame, DataFrame]:

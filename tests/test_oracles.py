@@ -31,3 +31,14 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_embedding_text_of_blank_records_equals_its_sql(spark, tmp_path):
+    texts = ["", "  ", "\n\n", "a b", "a b \n\t", "a b\r", "a b　", None]
+    rows = [(i, t, "en", "s", None if t is None else i % 2 * len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    with duckdb.connect() as db:
+        db.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+        expected = db.execute(f"select doc_id, embedding_sha, topic_count, char_count from ({SQL['embedding_text']})").fetchall()
+    found = catalog.queries()["embedding_text"](spark, str(tmp_path)).select("doc_id", "embedding_sha", "topic_count", "char_count")
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
