@@ -40,14 +40,15 @@ def or_default(c: Column, default: str = "") -> Column:
     return F.coalesce(F.nullif(strip(c.cast("string")), F.lit("")), F.lit(default))
 
 
-def _newlines(c: Column) -> Column:
+def newlines(c: Column) -> Column:
+    """Text with newlines for all line ends, blanks for hard ones, and no zero-width ones."""
     c = F.replace(F.replace(text_of(c), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     return F.replace(F.replace(c, F.lit("\u00a0"), F.lit(" ")), F.lit("\u200b"), F.lit(""))
 
 
 def normalize_lines(c: Column) -> Column:
     """Stripped, non-blank lines; of equal neighbours one stays."""
-    lines = F.split(F.regexp_replace(_newlines(c), r"[ \t\x0B\f]+", " "), "\n")
+    lines = F.split(F.regexp_replace(newlines(c), r"[ \t\x0B\f]+", " "), "\n")
     filled = F.filter(F.transform(lines, strip), lambda x: x != "")
     # bound once: a name inside the lambda would be computed again for every line
     kept = let(filled, lambda lines: F.filter(lines, lambda x, i: (i == 0) | (x != F.get(lines, i - 1))))
@@ -56,7 +57,7 @@ def normalize_lines(c: Column) -> Column:
 
 def normalize_export(c: Column) -> Column:
     """Spaces and tabs squeezed, at most one blank line in a row, ends stripped."""
-    squeezed = F.regexp_replace(_newlines(c), r"[ \t]+", " ")
+    squeezed = F.regexp_replace(newlines(c), r"[ \t]+", " ")
     return strip(F.regexp_replace(squeezed, r"\n{3,}", "\n\n"))
 
 

@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.chunking import chunk_document
-from ..functions.text import first_filled, first_nonzero, or_default, sanitize_id, strip
+from ..functions.chunking import chunk_document, normal_length
+from ..functions.text import first_filled, first_nonzero, let, or_default, sanitize_id, strip
 from ..plans.session import ship
 from ..plans.tables import written
 
@@ -103,15 +103,19 @@ def embedding_text(text: Column) -> Column:
 
 
 def chunk_documents(records: DataFrame, config: ChunkConfig = ChunkConfig(), once: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Chunk rows and skipped records. One Arrow UDF a record, no shuffle; with ``once`` its result is written for both."""
+    """Chunk rows and skipped records. Texts are measured natively; those that are kept go once through an Arrow UDF, which
+    holds a text and a block of chunks at a time. No shuffle; with ``once`` the rows with their chunks are written for both."""
     ship(records.sparkSession)
     cols = records.columns
-    ready = records.withColumns({"_p": chunk_params(cols, config), "_cap": document_cap(cols, config)})
-    ready = ready.withColumn("_made", chunk_document(or_default(F.col("content")), F.col("_p.size"), F.col("_p.overlap"), F.lit(config.min_chunk_chars), F.lit(config.min_doc_chars)))
-    ready = written(ready, "chunks") if once else ready
-    ready = ready.withColumn("_skip", skip_reason(F.col("_made.n"), F.col("status"), config))
-    skipped = ready.where("_skip is not null").select("ord", F.col("_skip").alias("reason"), F.when(F.col("_skip") == "status_not_ok", F.col("status")).alias("status"), F.when(F.col("_skip") == "doc_too_short", F.col("_made.n")).alias("char_count"), "url", "title", "doc_id")
-    kept = ready.where("_skip is null").withColumn("_all", F.col("_made.chunks"))
+    text = or_default(F.col("content"))
+    measured = let(normal_length(text), lambda n: F.struct(n.alias("n"), skip_reason(n, F.col("status"), config).alias("why")))
+    ready = records.withColumns({"_p": chunk_params(cols, config), "_cap": document_cap(cols, config), "_size": measured})
+    cut = chunk_document(text, F.col("_p.size"), F.col("_p.overlap"), F.lit(config.min_chunk_chars), F.lit(config.min_doc_chars))
+    ready = written(ready.withColumn("_all", cut), "chunks") if once else ready
+    why, n = F.col("_size.why"), F.col("_size.n")
+    skipped = ready.where(why.isNotNull()).select("ord", why.alias("reason"), F.when(why == "status_not_ok", F.col("status")).alias("status"), F.when(why == "doc_too_short", n).alias("char_count"), "url", "title", "doc_id")
+    kept = ready.where(why.isNull())
+    kept = kept if once else kept.withColumn("_all", cut)
     kept = kept.withColumn("_few", F.when((F.col("_cap") > 0) & (F.size("_all") > F.col("_cap")), F.slice("_all", F.lit(1), F.col("_cap"))).otherwise(F.col("_all")))
     meta = metadata(cols)
     flat = kept.select("ord", *[c.alias(n) for n, c in meta.items()], F.col("_p.size").alias("chunk_size_param"), F.col("_p.overlap").alias("overlap_param"), F.size("_all").alias("doc_original_chunk_count"), (F.size("_few") < F.size("_all")).alias("doc_capped"), F.size("_few").alias("chunk_count_in_doc"), F.posexplode("_few").alias("chunk_index", "chunk_text"))

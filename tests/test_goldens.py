@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import Row
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import chunking, scoring, text, urls
 from corpusloom.functions.html import extract
 from corpusloom.operators import analytics, chunks, crawl, export, filtering
+from corpusloom.plans import adapters
 from corpusloom.sources import files, seeds
 
 
@@ -244,3 +246,18 @@ def test_word_lists():
     assert digest(scoring.GOOD_WORDS) == "dfec577956a4e72e" and digest(scoring.POOR_WORDS) == "61409e1e14d066af"
     assert digest(urls.BLOCKED_EXTENSIONS) == "63cfb1db36e4bc80" and digest(filtering.VALUED) == "8743ffbf7c200dda"
     assert digest(export.RISK_CATEGORIES) == "ba0252eb67ce2704" and digest(export.RISK_AUTHORITIES) == "868a9fadc480f228" and digest(export.CORE_DOMAINS) == "16fcb0f5fc336e3a"
+
+
+def test_a_text_is_measured_without_python(spark):
+    pieces = ["a", "b c", " ", "\t", "\n", "\n\n", "\r", "\r\n", "\xa0", "\u200b", "\u3000", "\x0b", "\x1c", "\x85", "\xe9", "\U0001f600", "a\na"]
+    draw = random.Random(7)
+    texts = [None, "", *("".join(draw.choices(pieces, k=draw.randrange(1, 30))) for _ in range(2000))]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = dict(map(tuple, rows.select("i", chunking.normal_length(F.col("t"))).collect()))
+    assert found == {i: len(chunking.normalize_document(t)) for i, t in enumerate(texts)}
+
+
+def test_skips_run_no_python_and_chunks_run_it_once(spark, sf):
+    made, skipped = chunks.chunk_documents(adapters.records(spark, sf))
+    kinds = [df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") for df in (made, skipped)]
+    assert kinds == [1, 0]

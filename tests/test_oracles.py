@@ -34,7 +34,7 @@ def test_entry(spark):
 
 
 def test_embedding_text_of_blank_records_equals_its_sql(spark, tmp_path):
-    texts = ["", "  ", "\n\n", "a b", "a b \n\t", "a b\r", "a b　", None]
+    texts = ["", "  ", "\n\n", "a b", "a b \n\t", "a b\r", "a b\u3000", None]
     rows = [(i, t, "en", "s", None if t is None else i % 2 * len(t)) for i, t in enumerate(texts)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     with duckdb.connect() as db:
