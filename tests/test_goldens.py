@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -261,3 +262,11 @@ def test_skips_run_no_python_and_chunks_run_it_once(spark, sf):
     made, skipped = chunks.chunk_documents(adapters.records(spark, sf))
     kinds = [df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") for df in (made, skipped)]
     assert kinds == [1, 0]
+
+
+def test_chunks_are_returned_in_blocks():
+    text = "Some words of it. " * 10_000
+    batch = (pa.array([text] * 40), pa.array([2000] * 40), pa.array([250] * 40), pa.array([300] * 40), pa.array([500] * 40))
+    blocks = list(chunking._chunked(iter([batch])))
+    assert len(blocks) > 3 and max(map(len, blocks)) < 10
+    assert [x for b in blocks for x in b.to_pylist()] == [chunking.chunks_of(chunking.normalize_document(text), 2000, 250, 300)] * 40
